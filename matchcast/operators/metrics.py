@@ -12,7 +12,12 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from matchcast.operators.order import equi_depth_bucket, equi_depth_edges
+from matchcast.operators.order import (
+    SMALL_ROWS,
+    coarse_edges,
+    equi_depth_bucket,
+    equi_depth_edges,
+)
 
 BY = ["run", "model", "fold"]
 # Distance of a probability to 0 and 1 in the log loss, and the calibration bins.
@@ -147,21 +152,28 @@ def auc(scores: DataFrame, by: list[str] = BY) -> DataFrame:
     return auc_of_tally(tally_by_score(scores, by), by)
 
 
-def auc_of_tally(tallied: DataFrame, by: list[str]) -> DataFrame:
+def auc_of_tally(tallied: DataFrame, by: list[str], small: int = SMALL_ROWS) -> DataFrame:
     """Area under the ROC curve, ties counted half; missing when a class is absent.
 
-    The distinct scores of a group are put into equi-depth buckets, so that a running count never
+    The distinct scores of a large group are put into equi-depth buckets, so that a running count never
     sorts a whole group in one task however the scores are spread. A bucket yields its positives,
     its negatives and the pairs won inside it; the buckets' running count adds the rest.
     """
-    edges = tallied.groupBy(*by).agg(
+    groups = tallied.groupBy(*by).agg(
         equi_depth_edges(F.col("p")).alias("edges"),
         F.sum("pos").alias("positives"),
         F.sum("neg").alias("negatives"),
+        F.count(F.lit(1)).alias("distinct_scores"),
     )
+    edges = groups.withColumn("coarse", coarse_edges(F.col("edges")))
     same_group = reduce(
-        lambda a, b: a & b, (F.col(f"t.{c}").eqNullSafe(F.col(f"e.{c}")) for c in by)
-    ) if by else F.lit(True)
+        lambda a, b: a & b, (F.col(f"t.{c}").eqNullSafe(F.col(f"e.{c}")) for c in by), F.lit(True)
+    )
+    # A group small enough for one task is one bucket.
+    bucket = F.when(
+        F.col("distinct_scores") > small,
+        equi_depth_bucket(F.col("p"), F.col("edges"), F.col("coarse")),
+    ).otherwise(0)
     bucketed = (
         tallied.alias("t")
         .join(edges.alias("e"), same_group)
@@ -172,7 +184,7 @@ def auc_of_tally(tallied: DataFrame, by: list[str]) -> DataFrame:
             "neg",
             "positives",
             "negatives",
-            equi_depth_bucket(F.col("p"), F.col("edges")).alias("bucket"),
+            bucket.alias("bucket"),
         )
     )
     before = Window.partitionBy(*by, "bucket").orderBy("p").rowsBetween(Window.unboundedPreceding, -1)

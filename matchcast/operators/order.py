@@ -119,16 +119,16 @@ def exact_medians(df: DataFrame, columns: list[str], small: int = SMALL_ROWS) ->
     """Exact median of every column (mean of the two middle values for an even count).
 
     Values must be free of NaN; a column without values has none. A small frame takes one
-    aggregate. In a large one the lower middle value is found by ``_kth_values``, and one more
+    aggregate, its columns stacked so that they are spread over tasks. In a large one the lower middle value is found by ``_kth_values``, and one more
     aggregate yields the upper one.
     """
     if not columns:
         return {}
-    counts = df.agg(*(F.count(c).alias(c) for c in columns)).first().asDict()
-    if max(counts.values()) <= small:
-        row = df.agg(*(F.median(c).alias(c) for c in columns)).first()
-        return {c: row[c] for c in columns}
+    if df.count() <= small:
+        found = _stack(df, columns).groupBy("name").agg(F.median("value").alias("median"))
+        return dict.fromkeys(columns) | {r["name"]: r["median"] for r in found.collect()}
 
+    counts = df.agg(*(F.count(c).alias(c) for c in columns)).first().asDict()
     ranks = {c: (counts[c] - 1) // 2 for c in columns if counts[c] > 0}
     lower = _kth_values(df, ranks, small)
     checks = []
@@ -191,6 +191,14 @@ def _kth_values(df: DataFrame, ranks: dict[str, int], small: int) -> dict[str, f
     return found | (_read_ranks(df, {c: gaps[c] for c in rest}, left) if rest else {})
 
 
+def _stack(df: DataFrame, columns: list[str]) -> DataFrame:
+    """One row per column and row: ``name, value``."""
+    cells = (
+        F.struct(F.lit(c).alias("name"), F.col(c).cast("double").alias("value")) for c in columns
+    )
+    return df.select(F.explode(F.array(*cells)).alias("cell")).select("cell.*")
+
+
 def _inside(column: str, low: float | None, high: float | None) -> Column:
     value = F.col(column)
     inside = value.isNotNull()
@@ -247,15 +255,19 @@ FRACTIONS = [i / (STEP * STEP) for i in range(1, STEP * STEP)]
 
 
 def equi_depth_edges(value: Column) -> Column:
-    """Aggregate: up to 1023 ascending edges that cut the values into parts of like size."""
-    return F.percentile_approx(value, FRACTIONS, 4 * STEP * STEP)
+    """Aggregate: 1023 ascending edges that cut the values into parts of like size."""
+    return F.percentile_approx(value, FRACTIONS, 2 * STEP * STEP)
 
 
-def equi_depth_bucket(value: Column, edges: Column) -> Column:
-    """Number of edges below the value, found in two steps of 32 comparisons."""
-    coarse_edges = F.transform(
+def coarse_edges(edges: Column) -> Column:
+    """Every 32nd edge."""
+    return F.transform(
         F.sequence(F.lit(1), F.lit(STEP - 1)), lambda i: F.element_at(edges, i * STEP)
     )
-    coarse = F.size(F.filter(coarse_edges, lambda e: e < value))
-    part = F.slice(edges, coarse * STEP + 1, STEP - 1)
-    return coarse * STEP + F.size(F.filter(part, lambda e: e < value))
+
+
+def equi_depth_bucket(value: Column, edges: Column, coarse: Column) -> Column:
+    """Number of edges below the value, found in two steps of 32 comparisons."""
+    part = F.size(F.filter(coarse, lambda e: e < value))
+    rest = F.slice(edges, part * STEP + 1, STEP - 1)
+    return part * STEP + F.size(F.filter(rest, lambda e: e < value))

@@ -14,8 +14,17 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Hash a table by its key if it is stored in fewer splits than there are cores.
+
+    A large table has splits enough and is left as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+
+
 def load_games(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = read(spark, sf_dir, "orders")
+    orders = spread(read(spark, sf_dir, "orders"), "o_orderkey")
     customer = read(spark, sf_dir, "customer")
     home = customer.select(
         F.col("c_custkey").alias("h_key"),
