@@ -6,7 +6,9 @@ differently, or in another SQL engine.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+import math
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -37,10 +39,17 @@ def uniform(residue: Column, salt: int | Column) -> Column:
     return (mix(residue, salt).cast("double") + 0.5) / float(MODULUS)
 
 
-def normal(residue: Column, salt: int) -> Column:
+def hashed_uniform(key: Column, salt: int) -> Column:
+    """A number in (0, 1) from Spark's own hash; shorter code where no other engine must agree."""
+    return (F.pmod(F.xxhash64(key, F.lit(salt)), F.lit(MODULUS)).cast("double") + 0.5) / float(
+        MODULUS
+    )
+
+
+def normal(key: Column, salt: int) -> Column:
     """A standard normal number (Box-Muller) from two uniforms of the key."""
-    radius = F.sqrt(-2.0 * F.log(uniform(residue, 2 * salt)))
-    return radius * F.cos(2.0 * F.pi() * uniform(residue, 2 * salt + 1))
+    radius = F.sqrt(-2.0 * F.log(hashed_uniform(key, 2 * salt)))
+    return radius * F.cos(2.0 * F.pi() * hashed_uniform(key, 2 * salt + 1))
 
 
 # P(X <= k) of a Poisson(1) variable, k = 0, 1, ...; beyond them the chance is 1e-9.
@@ -59,9 +68,25 @@ POISSON_ONE = [
 ]
 
 
-def poisson_one(u: Column) -> Column:
-    """Poisson(1) count of a uniform number: how many thresholds it passes."""
-    count = F.lit(len(POISSON_ONE))
-    for k in reversed(range(len(POISSON_ONE))):
-        count = F.when(u <= POISSON_ONE[k], F.lit(k)).otherwise(count)
-    return count
+def poisson_limits(rate: float) -> list[float]:
+    """Chances of at most 0, 1, ... events, up to a tail below 1e-12."""
+    if rate == 1.0:
+        return POISSON_ONE
+    limits, term, total = [], math.exp(-rate), 0.0
+    while total < 1 - 1e-12 and len(limits) < 200:
+        total += term
+        limits.append(total)
+        term *= rate / len(limits)
+    return limits
+
+
+def with_poisson(df: DataFrame, u: Column, output: str, rate: float = 1.0) -> DataFrame:
+    """Add the Poisson count of a uniform number: how many of the limits it passes.
+
+    The number is a column of its own first, so that it is worked out once per row.
+    """
+    limits = poisson_limits(rate)
+    count = F.lit(len(limits))
+    for k in reversed(range(len(limits))):
+        count = F.when(F.col("_u") <= limits[k], F.lit(k)).otherwise(count)
+    return df.withColumn("_u", u).withColumn(output, count).drop("_u")

@@ -16,11 +16,12 @@ from matchcast.operators.learners import (
     RECOMMENDED,
     Classifier,
     fit_classifier,
+    in_parallel,
     learner,
     save_classifier,
 )
 from matchcast.operators.selection import eliminate_features, mutual_information, rank_by_score
-from matchcast.operators.tuning import N_ITER, grid_search, in_parallel, random_search
+from matchcast.operators.tuning import N_ITER, grid_search, random_search
 from matchcast.plans.prepare import LABEL, Prepared, prepare_train_test
 from matchcast.sources.writers import export_csv
 

@@ -364,3 +364,197 @@ ORACLE["top_n"] = query(
     [*TO_METRICS, SUMMARY, BOARD],
     "SELECT model, rank, round(cv_auc_mean, 6) AS cv_auc_mean FROM board WHERE rank <= 2",
 )
+
+# --- feature analysis ------------------------------------------------------------------------
+
+
+def _pairs(columns: list[str]) -> str:
+    cells = ", ".join(
+        f"{{'feature_a': '{a}', 'feature_b': '{b}', 'correlation': corr({a}, {b})}}"
+        for i, a in enumerate(columns)
+        for b in columns[i + 1 :]
+    )
+    return f"SELECT unnest([{cells}], recursive := true)"
+
+
+ORACLE["corr_pairs"] = query(
+    [GAMES, DERIVED, f"pairs AS ({_pairs(ALL_NUMERIC)} FROM derived)"],
+    "SELECT feature_a, feature_b, round(correlation, 6) AS correlation FROM pairs",
+)
+ORACLE["corr_filter"] = query(
+    [
+        *TO_PREPARED,
+        f"pairs AS ({_pairs(MODEL_FEATURES)} FROM prepared WHERE NOT is_test)",
+        f"features AS (SELECT unnest({MODEL_FEATURES!r}) AS feature)",
+    ],
+    """SELECT feature, EXISTS (SELECT 1 FROM pairs WHERE feature_b = feature AND abs(correlation) > 0.9e0) AS dropped
+       FROM features""",
+)
+STACKED = (
+    "stacked AS (SELECT game_id, label, unnest(["
+    + ", ".join(f"{{'feature': '{c}', 'x': {c}}}" for c in MODEL_FEATURES)
+    + "], recursive := true) FROM prepared WHERE NOT is_test)"
+)
+ANOVA = """
+classes AS (
+  SELECT feature, label, count(*) AS n, avg(x) AS mean, var_pop(x) * count(*) AS within
+  FROM stacked GROUP BY feature, label
+),
+grand AS (SELECT feature, avg(x) AS mean, count(*) AS n FROM stacked GROUP BY feature),
+anova AS (
+  SELECT c.feature, sum(c.n * (c.mean - g.mean) * (c.mean - g.mean)) / (sum(c.within) / (max(g.n) - 2)) AS score
+  FROM classes c JOIN grand g ON g.feature = c.feature GROUP BY c.feature
+)"""
+ORACLE["anova_f"] = query(
+    [*TO_PREPARED, STACKED, ANOVA], "SELECT feature, round(score, 4) AS score FROM anova"
+)
+ORACLE["rank_features"] = query(
+    [*TO_PREPARED, STACKED, ANOVA],
+    """SELECT feature, CAST(row_number() OVER (ORDER BY round(score, 6) DESC, feature) AS INTEGER) AS rank,
+              row_number() OVER (ORDER BY round(score, 6) DESC, feature) <= 15 AS kept FROM anova""",
+)
+# Edges are the values at ranks ceil(i n / 32); a value's bin is the number of distinct edges below it.
+ORACLE["mutual_info"] = query(
+    [
+        *TO_PREPARED,
+        STACKED,
+        """sorted AS (
+             SELECT feature, x, label, row_number() OVER (PARTITION BY feature ORDER BY x) AS pos,
+                    count(*) OVER (PARTITION BY feature) AS n
+             FROM stacked
+           ),
+           edges AS (
+             SELECT DISTINCT s.feature, s.x AS edge FROM sorted s
+             JOIN (SELECT unnest(range(1, 32)) AS i) q ON s.pos = greatest(ceil(q.i / 32e0 * s.n), 1)
+           ),
+           cells AS (
+             SELECT s.feature, s.label, count(e.edge) AS bin
+             FROM stacked s LEFT JOIN edges e ON e.feature = s.feature AND e.edge < s.x
+             GROUP BY s.feature, s.label, s.game_id
+           ),
+           counts AS (SELECT feature, bin, label, count(*) * 1e0 AS n FROM cells GROUP BY feature, bin, label),
+           shares AS (
+             SELECT feature, n, sum(n) OVER (PARTITION BY feature) AS total,
+                    sum(n) OVER (PARTITION BY feature, bin) AS in_bin,
+                    sum(n) OVER (PARTITION BY feature, label) AS in_class
+             FROM counts
+           )""",
+    ],
+    "SELECT feature, round(greatest(sum(n / total * ln(n * total / (in_bin * in_class))), 0e0), 6) AS score"
+    " FROM shares GROUP BY feature",
+)
+
+# --- neighbours and votes --------------------------------------------------------------------
+
+
+def _near(k: int, distance: str) -> list[str]:
+    return [
+        "points AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v, label FROM embeddings)",
+        f"""near AS (
+              SELECT * FROM (
+                SELECT a.vec_id, b.vec_id AS neighbour, b.label, {distance} AS distance,
+                       row_number() OVER (PARTITION BY a.vec_id ORDER BY {distance}, b.vec_id) AS place
+                FROM points a JOIN points b ON a.vec_id <> b.vec_id)
+              WHERE place <= {k})""",
+    ]
+
+
+EUCLIDEAN = "list_distance(a.v, b.v)"
+MANHATTAN = "list_sum([abs(z[1] - z[2]) for z in list_zip(a.v, b.v)])"
+VOTED = """
+tallied AS (SELECT vec_id, label, sum(w) AS w FROM weighed GROUP BY vec_id, label),
+voted AS (
+  SELECT vec_id, label, w, sum(w) OVER (PARTITION BY vec_id) AS total,
+         row_number() OVER (PARTITION BY vec_id ORDER BY w DESC, label) AS nth
+  FROM tallied
+)"""
+ORACLE["knn_neighbours"] = query(
+    _near(5, EUCLIDEAN),
+    "SELECT vec_id, neighbour, label, CAST(place AS INTEGER) AS place, round(distance, 6) AS distance FROM near",
+)
+ORACLE["knn_vote"] = query(
+    [*_near(5, EUCLIDEAN), "weighed AS (SELECT *, 1e0 AS w FROM near)", VOTED],
+    "SELECT vec_id, label AS prediction, round(w / total, 6) AS share FROM voted WHERE nth = 1",
+)
+ORACLE["knn_vote_distance"] = query(
+    [
+        *_near(7, MANHATTAN),
+        """weighed AS (SELECT *, CASE WHEN min(distance) OVER (PARTITION BY vec_id) = 0
+                                      THEN CASE WHEN distance = 0 THEN 1e0 ELSE 0e0 END
+                                      ELSE 1e0 / distance END AS w FROM near)""",
+        VOTED,
+    ],
+    "SELECT vec_id, label AS prediction, round(w / total, 6) AS share FROM voted WHERE nth = 1",
+)
+ORACLE["soft_vote"] = query(
+    TO_SCORES,
+    """SELECT run, fold, game_id, max(y) AS y,
+              round(sum(p * CASE WHEN model = 'balanced' THEN 2e0 ELSE 1e0 END) / 4e0, 6) AS p
+       FROM scores GROUP BY run, fold, game_id""",
+)
+ORACLE["hard_vote"] = query(
+    TO_SCORES,
+    """SELECT run, fold, game_id, max(y) AS y,
+              CASE WHEN count(*) FILTER (WHERE p > 0.5e0) >= 2 THEN 1e0 ELSE 0e0 END AS p
+       FROM scores GROUP BY run, fold, game_id""",
+)
+
+# --- naive Bayes in closed form --------------------------------------------------------------
+
+ORACLE["nb_scores"] = query(
+    [
+        *TO_PREPARED,
+        STACKED,
+        """spread AS (SELECT max(v) * 1e-9 AS epsilon FROM (SELECT var_pop(x) AS v FROM stacked GROUP BY feature)),
+           fitted AS (
+             SELECT s.feature, s.label AS class, avg(s.x) AS mean, var_pop(s.x) + max(e.epsilon) AS var
+             FROM stacked s, spread e GROUP BY s.feature, s.label
+           ),
+           priors AS (SELECT label AS class, ln(count(*) * 1e0 / sum(count(*)) OVER ()) AS prior
+                      FROM prepared WHERE NOT is_test GROUP BY label)""",
+        "asked AS (SELECT game_id, label, unnest(["
+        + ", ".join(f"{{'feature': '{c}', 'x': {c}}}" for c in MODEL_FEATURES)
+        + "], recursive := true) FROM prepared WHERE is_test)",
+        """likelihood AS (
+             SELECT a.game_id, a.label, f.class,
+                    max(p.prior) - 0.5e0 * sum(ln(2e0 * pi() * f.var) + (a.x - f.mean) * (a.x - f.mean) / f.var) AS l
+             FROM asked a JOIN fitted f ON f.feature = a.feature JOIN priors p ON p.class = f.class
+             GROUP BY a.game_id, a.label, f.class
+           )""",
+    ],
+    """SELECT game_id, label, round(1e0 / (1e0 + exp(sum(CASE WHEN class = 0 THEN l ELSE -l END))), 4) AS p
+       FROM likelihood GROUP BY game_id, label""",
+)
+
+# --- sampling --------------------------------------------------------------------------------
+
+# Cumulative Poisson(1) chances.
+_LIMITS = [
+    "0.36787944117144233e0", "0.7357588823428847e0", "0.9196986029286058e0", "0.9810118431238462e0",
+    "0.9963401531726563e0", "0.9994058151824183e0", "0.9999167588507119e0", "0.9999897508033253e0",
+    "0.9999988747974020e0", "0.9999998885745217e0", "0.9999999899522336e0",
+]
+
+
+def _draws(iterations: int) -> list[str]:
+    count = " ".join(f"WHEN u <= {limit} THEN {k}" for k, limit in enumerate(_LIMITS))
+    return [
+        GAMES,
+        f"""uniforms AS (
+              SELECT game_id, home_team_win_pct, CAST(i AS INTEGER) AS iteration,
+                     ({mixed('game_id % 2147483647', '(42 + i)')} + 0.5e0) / 2147483647e0 AS u
+              FROM games, (SELECT unnest(range({iterations})) AS i)
+            ),
+            draws AS (SELECT *, CASE {count} ELSE 11 END AS weight FROM uniforms)""",
+    ]
+
+
+ORACLE["bootstrap"] = query(
+    _draws(3), "SELECT game_id, iteration, weight FROM draws WHERE weight > 0"
+)
+ORACLE["bootstrap_sizes"] = query(
+    _draws(10),
+    """SELECT iteration, CAST(sum(weight) AS BIGINT) AS n,
+              round(sum(weight * home_team_win_pct) / sum(weight), 6) AS mean_win_pct
+       FROM draws GROUP BY iteration""",
+)
