@@ -34,14 +34,22 @@ def american_odds(probability: Column) -> Column:
         F.greatest(probability + MARGIN / 2, F.lit(PRICE_FLOOR)), F.lit(PRICE_CEILING)
     )
     against = F.lit(1.0) - priced
-    return F.when(priced >= 0.5, F.bround(-(priced / against) * 100.0)).otherwise(
-        F.bround((against / priced) * 100.0)
+    return F.when(priced >= 0.5, round_even(-(priced / against) * 100.0)).otherwise(
+        round_even((against / priced) * 100.0)
     )
 
 
+def round_even(value: Column, digits: int = 0) -> Column:
+    """Round half to even in binary arithmetic, scaled by a power of ten."""
+    if digits == 0:
+        return F.rint(value)
+    scale = 10.0**digits
+    return F.rint(value * scale) / scale
+
+
 def probability_pair(home: Column, digits: int = 3) -> tuple[Column, Column]:
-    """Home and away probability rounded half-even, so that the two always add up to one."""
-    return F.bround(home, digits), F.bround(F.lit(1.0) - home, digits)
+    """Home and away probability, each rounded half to even from the unrounded number."""
+    return round_even(home, digits), round_even(F.lit(1.0) - home, digits)
 
 
 def sigmoid(x: Column) -> Column:

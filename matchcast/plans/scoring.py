@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from matchcast.functions.encode import clean_numeric
-from matchcast.functions.odds import probability_pair
+from matchcast.functions.odds import probability_pair, round_even
 from matchcast.operators.impute import apply_features
 from matchcast.operators.learners import Artifacts, Classifier, load_classifier
 from matchcast.schema import (
@@ -48,7 +48,7 @@ def score_v1(
     scored = classifier.score(fresh.drop(TARGET), "_p")
     p = F.col("_p")
     return scored.withColumns(
-        {AWAY_PROBABILITY: F.bround(1.0 - p, 3), HOME_PROBABILITY: F.bround(p, 3)}
+        {AWAY_PROBABILITY: round_even(1.0 - p, 3), HOME_PROBABILITY: round_even(p, 3)}
     ).drop("_p")
 
 
