@@ -28,6 +28,10 @@ from matchcast.operators.impute import FeatureState, Standardiser, fit_standardi
 
 TASK_ROWS = 20_000
 PARALLEL_FITS = 4
+# Early stopping of the network: length of a run, least gain, runs without gain before it stops.
+RUN_ITERATIONS = 10
+MIN_GAIN = 1e-4
+PATIENCE = 2
 FEATURES, RAW, PROBABILITY, CLASS = "_features", "_raw", "_probability", "_class"
 
 
@@ -241,7 +245,43 @@ def fit_classifier(
     )
     # An iterative fit runs many short jobs; a small table goes faster in few tasks.
     vectors = vectors.coalesce(-(-size["rows"] // TASK_ROWS) or 1)
-    return Classifier(name, list(features), estimator.fit(vectors), scaler, params)
+    if isinstance(estimator, MultilayerPerceptronClassifier):
+        model = _fit_until_no_better(estimator, vectors, label)
+    else:
+        model = estimator.fit(vectors)
+    return Classifier(name, list(features), model, scaler, params)
+
+
+def _fit_until_no_better(
+    estimator: MultilayerPerceptronClassifier, vectors: DataFrame, label: str
+) -> Model:
+    """Train a network in short runs and stop when a held-out tenth no longer gains.
+
+    The tenth is chosen by a hash of the row, and the best network seen is kept.
+    """
+    rows = vectors.withColumn(
+        "_held_out", F.pmod(F.xxhash64(vector_to_array(FEATURES)), F.lit(10)) == 0
+    ).persist()
+    limit, best, best_loss, worse = estimator.getMaxIter(), None, float("inf"), 0
+    try:
+        weights, done = None, 0
+        while done < limit and worse < PATIENCE:
+            estimator.setMaxIter(min(RUN_ITERATIONS, limit - done))
+            if weights is not None:
+                estimator.setInitialWeights(weights)
+            model = estimator.fit(rows.where(~F.col("_held_out")))
+            weights, done = model.weights, done + estimator.getMaxIter()
+            p = F.greatest(
+                F.element_at(vector_to_array(PROBABILITY), F.col(label).cast("int") + 1), F.lit(1e-15)
+            )
+            loss = model.transform(rows.where("_held_out")).agg(-F.avg(F.ln(p))).first()[0]
+            if best is None or (loss is not None and loss < best_loss - MIN_GAIN):
+                best, best_loss, worse = model, loss if loss is not None else best_loss, 0
+            else:
+                worse += 1
+    finally:
+        rows.unpersist()
+    return best
 
 
 def in_parallel(spark: SparkSession, work, items: list, width: int = PARALLEL_FITS) -> list:

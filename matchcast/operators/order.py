@@ -17,6 +17,8 @@ from matchcast.durable import durable
 
 # A frame with at most this many rows may meet in one task.
 SMALL_ROWS = 1_000_000
+# Rank error of the quantile sketches, as a share of the rows.
+SKETCH_ERROR = 5e-4
 
 
 # --- keys at positions -----------------------------------------------------------------------
@@ -146,22 +148,26 @@ def exact_medians(df: DataFrame, columns: list[str], small: int = SMALL_ROWS) ->
 def _kth_values(df: DataFrame, ranks: dict[str, int], small: int) -> dict[str, float]:
     """The value at a rank (from 0) of each column.
 
-    Every round cuts the values still in question at about 200 approximate quantiles (a bounded
-    sketch, merged in a tree), counts exactly how many values lie on and between the cuts, and
-    goes on with the gap that holds the rank. Values that occur very often are cuts themselves.
+    Every round takes a few approximate quantiles next to the rank (a bounded sketch, merged in a
+    tree) as cuts, counts exactly how many values lie on and between the cuts, and goes on with the
+    gap that holds the rank. A value that occurs very often is a cut itself, and then found.
     """
     gaps: dict[str, tuple[float | None, float | None]] = {c: (None, None) for c in ranks}
     left = dict(ranks)
     found: dict[str, float] = {}
-    size = dict.fromkeys(ranks, small + 1)
+    counted = df.agg(*(F.count(c).alias(c) for c in ranks)).first()
+    size = {c: counted[c] for c in ranks}
     while True:
         wide = [c for c in ranks if c not in found and size[c] > small]
         if not wide:
             break
         kept = df.select(*(F.when(_inside(c, *gaps[c]), F.col(c)).alias(c) for c in wide))
-        grid = [i / 200 for i in range(201)]
-        quantiles = kept.approxQuantile(wide, grid, 1e-3)
-        cuts = {c: sorted(set(q)) for c, q in zip(wide, quantiles)}
+        near = {c: _fractions_near(left[c] / size[c]) for c in wide}
+        asked = sorted(set().union(*near.values()))
+        quantiles = kept.approxQuantile(wide, asked, SKETCH_ERROR)
+        cuts = {
+            c: sorted({v for f, v in zip(asked, q) if f in near[c]}) for c, q in zip(wide, quantiles)
+        }
         # An even place is a gap between two cuts, an odd place is a cut itself.
         places = F.array(
             *(
@@ -191,6 +197,11 @@ def _kth_values(df: DataFrame, ranks: dict[str, int], small: int) -> dict[str, f
     return found | (_read_ranks(df, {c: gaps[c] for c in rest}, left) if rest else {})
 
 
+def _fractions_near(target: float) -> set[float]:
+    steps = (-2, -1, 0, 1, 2)
+    return {min(1.0, max(0.0, target + s * SKETCH_ERROR)) for s in steps}
+
+
 def _stack(df: DataFrame, columns: list[str]) -> DataFrame:
     """One row per column and row: ``name, value``."""
     cells = (
