@@ -258,9 +258,9 @@ def upsert_predictions(spark, sf_dir):
         )
 
     path = _scratch(spark, "predictions")
-    writers.upsert(predictions(prepared.rows, "balanced"), path, order=["game_id"])
-    writers.upsert(predictions(prepared.test, "form"), path, order=["game_id"])
-    return spark.read.parquet(path).drop(writers.CREATED_AT)
+    for batch in (predictions(prepared.rows, "balanced"), predictions(prepared.test, "form")):
+        writers.upsert(batch, path, order=["game_id"], grain="month")
+    return spark.read.parquet(path).drop(writers.CREATED_AT, "game_date_month")
 
 
 # --- splits and folds ------------------------------------------------------------------------

@@ -48,6 +48,19 @@ def test_upsert_with_a_hot_key_and_many_partitions(spark, tmp_path, monkeypatch)
     assert got.where("home_team = '4'").first()["p"] == -4.0
 
 
+def test_upsert_by_month_rewrites_touched_months_only(spark, tmp_path):
+    path = str(tmp_path / "t")
+    april = dt.date(2024, 4, 2)
+    writers.upsert(spark.createDataFrame([("a", DAY, 0.1), ("b", april, 0.2)], COLUMNS), path, grain="month")
+    files = sorted((tmp_path / "t").glob("game_date_month=2024-03-01/*.parquet"))
+    writers.upsert(spark.createDataFrame([("b", april, 0.5), ("c", april, 0.6)], COLUMNS), path, grain="month")
+    got = stored(spark, path)
+    assert {k: r["p"] for k, r in got.items()} == {("a", DAY): 0.1, ("b", april): 0.5, ("c", april): 0.6}
+    assert files and files == sorted((tmp_path / "t").glob("game_date_month=2024-03-01/*.parquet"))
+    with pytest.raises(ValueError):
+        writers.upsert(spark.createDataFrame([("a", DAY, 0.1)], COLUMNS), path, grain="week")
+
+
 def test_upsert_of_nothing_leaves_the_table(spark, tmp_path):
     path = str(tmp_path / "t")
     none = spark.createDataFrame([], COLUMNS)
