@@ -337,3 +337,15 @@ def augment(spark, sf_dir):
 @registered
 def synth_games(spark, sf_dir):
     return sampling.synthetic_games(read(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("game_id")))
+
+
+@registered
+def win_probability(spark, sf_dir):
+    games = load_games(spark, sf_dir).withColumns(
+        {
+            "home_pct_vorp_missing": (F.col("game_id") % 40) / 100.0,
+            "away_pct_vorp_missing": (F.col("game_id") % 25) / 100.0,
+        }
+    )
+    p = sampling.win_probability(F.col("home_team_win_pct"), F.col("away_team_win_pct"))
+    return games.select("game_id", F.round(p, 6).alias("p"))

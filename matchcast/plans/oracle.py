@@ -558,3 +558,12 @@ ORACLE["bootstrap_sizes"] = query(
               round(sum(weight * home_team_win_pct) / sum(weight), 6) AS mean_win_pct
        FROM draws GROUP BY iteration""",
 )
+ORACLE["win_probability"] = query(
+    [GAMES],
+    """SELECT game_id, round(1e0 / (1e0 + exp(-(
+                (home_team_win_pct - away_team_win_pct) * 4e0 + 0.06e0
+                + CASE WHEN home_games_last_7_days > 3 THEN -0.05e0 ELSE 0e0 END
+                - CASE WHEN away_games_last_7_days > 3 THEN -0.05e0 ELSE 0e0 END
+                + ((game_id % 25) / 100e0 - (game_id % 40) / 100e0) * 0.2e0))), 6) AS p
+       FROM games""",
+)
