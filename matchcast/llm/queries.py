@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from matchcast.llm import exact, langid, licenses, mixing, simhash
+from matchcast.llm import decontaminate, exact, langid, licenses, mixing, simhash
 from matchcast.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -28,6 +28,14 @@ def op2_language_id(spark, sf_dir):
     return langid.identify(table(spark, sf_dir, "documents"))
 
 
+@query
+def op3_decontamination(spark, sf_dir):
+    found = decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        F.col("id").alias("doc_id"), F.col("item").alias("item_id"), "covered", F.col("words").alias("item_words"), "changed"
+    )
+
+
 @query
 def op5_simhash(spark, sf_dir):
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
