@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from matchcast.llm import decontaminate, exact, langid, licenses, mixing, simhash
+from matchcast.llm import chat, decontaminate, exact, langid, licenses, mixing, simhash, warc
 from matchcast.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -36,6 +36,12 @@ def op3_decontamination(spark, sf_dir):
     )
 
 
+@query
+def op4_warc(spark, sf_dir):
+    found = warc.round_trip(table(spark, sf_dir, "pages"))
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 @query
 def op5_simhash(spark, sf_dir):
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
@@ -52,6 +58,14 @@ def op6_exact_dedup(spark, sf_dir):
     return found.select(F.col("id").alias("doc_id"), "keep_id", "group_size", "kept", F.col("sha").alias("text_sha256"))
 
 
+@query
+def op8_chat(spark, sf_dir):
+    said = f"{chat.CLOSE}{chat.HEAD} ok {chat.BODY}"
+    extra = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
+    return chat.read_back(chat.format_chats(rows))
+
+
 @query
 def op10_mix(spark, sf_dir):
     found = mixing.mix(table(spark, sf_dir, "documents"))
