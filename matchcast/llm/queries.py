@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from matchcast.llm import chat, decontaminate, exact, langid, licenses, mixing, simhash, warc
+from matchcast.llm import chat, decontaminate, exact, langid, licenses, mixing, pii, simhash, warc
 from matchcast.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -66,6 +66,11 @@ def op8_chat(spark, sf_dir):
     return chat.read_back(chat.format_chats(rows))
 
 
+@query
+def op9_pii(spark, sf_dir):
+    return pii.personal_data(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
 @query
 def op10_mix(spark, sf_dir):
     found = mixing.mix(table(spark, sf_dir, "documents"))
