@@ -29,10 +29,14 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def settle(df: DataFrame) -> DataFrame:
-    """Write ``df`` as Parquet to the shared folder and read it back: lineage ends, its size is known."""
+    """Write ``df`` as Parquet to the shared folder and read it back: lineage ends, its size is known.
+
+    Shuffle files of what is no longer referred to go with the driver's garbage, which is why that is collected.
+    """
     spark = df.sparkSession
     path = shared_folder(spark)
     df.write.parquet(path)
+    spark._jvm.System.gc()
     found = spark.read.schema(df.schema).parquet(path)
     found._settled_at = path
     return found

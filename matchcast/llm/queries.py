@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from matchcast.llm import chat, decontaminate, exact, langid, licenses, mixing, pii, simhash, warc
+from matchcast.llm import chat, decontaminate, exact, langid, licenses, mixing, pii, repeats, simhash, warc
 from matchcast.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -58,6 +58,11 @@ def op6_exact_dedup(spark, sf_dir):
     return found.select(F.col("id").alias("doc_id"), "keep_id", "group_size", "kept", F.col("sha").alias("text_sha256"))
 
 
+@query
+def op7_repeats(spark, sf_dir):
+    return repeats.repeated_bytes(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
 @query
 def op8_chat(spark, sf_dir):
     said = f"{chat.CLOSE}{chat.HEAD} ok {chat.BODY}"
