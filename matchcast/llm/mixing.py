@@ -199,14 +199,15 @@ def write_order(docs: DataFrame, seed: str = "mix") -> DataFrame:
     """The mix itself: each document as often as it is taken.
 
     Added are ``mix_copy``, ``mix_shard`` and ``mix_order``: a shard's documents, sorted by the last, are shuffled.
-    Input columns of these names are not expected; ``id`` and ``h`` may occur.
+    Input columns of these names are not expected; any others may occur.
     """
     taken = mix(docs, seed=seed).filter("copies > 0")
     planned = settle(taken.select("id", "h", F.posexplode("shards").alias("copy", "shard")).distinct())
+    listed = planned.select(*(F.col(c).alias(f"_mix_{c}") for c in planned.columns))
     keyed = docs.select("*", F.col("doc_id").alias("_id"), text_hash("text").alias("_h"))
-    same = F.col("_id").eqNullSafe(F.col("id")) & (F.col("_h") == F.col("h"))
-    drawn = F.concat_ws(":", F.lit(seed), "_id", "shard", "copy")
-    return keyed.join(planned, same).select(
-        *(F.col(f"`{c}`") for c in docs.columns), F.col("copy").alias("mix_copy"), F.col("shard").alias("mix_shard"),
-        F.md5(drawn.cast("binary")).alias("mix_order"),
+    same = F.col("_id").eqNullSafe(F.col("_mix_id")) & (F.col("_h") == F.col("_mix_h"))
+    drawn = F.concat_ws(":", F.lit(seed), "_id", "_h", "_mix_shard", "_mix_copy")
+    return keyed.join(listed, same).select(
+        *(F.col(f"`{c}`") for c in docs.columns), F.col("_mix_copy").alias("mix_copy"),
+        F.col("_mix_shard").alias("mix_shard"), F.md5(drawn.cast("binary")).alias("mix_order"),
     )

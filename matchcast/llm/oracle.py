@@ -1,5 +1,129 @@
-"""The same results in DuckDB SQL, where SQL can express them."""
+"""The same results in DuckDB SQL, where SQL can express them.
+
+Not here: language identification and the added spans of personal data (learned weights),
+decontamination (canonical words), fingerprints (XXH64) and repeated bytes (a window per byte of
+the corpus); tests/llm compare these with brute force.
+"""
 
 from __future__ import annotations
 
-ORACLE: dict[str, str] = {}
+from matchcast.llm import chat, licenses, mixing
+
+
+def _templates() -> str:
+    rows = []
+    for number, (text, label) in enumerate([*licenses.PHRASES.items(), *licenses.NOTICES.items()]):
+        w = text.split()
+        phrase = str(number < len(licenses.PHRASES)).lower()
+        rows += [f"({number}, '{label}', {phrase}, {len(w) - 1}, {i}, '{w[i]}', '{w[i + 1]}')" for i in range(len(w) - 1)]
+    return ",\n".join(rows)
+
+
+LICENSE_SCAN = rf"""
+WITH t(template, label, phrase, grams, place, one, two) AS (VALUES {_templates()}),
+d AS (
+  SELECT doc_id, [x FOR x IN regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '{licenses.SEPARATORS}') IF x <> ''] AS w FROM documents),
+g AS (SELECT doc_id, w, unnest(range(len(w) - 1)) AS pos FROM d),
+hits AS (SELECT doc_id, pos, t.* FROM g JOIN t ON w[pos + 1] = one AND w[pos + 2] = two),
+votes AS (
+  SELECT doc_id, template, label, phrase, grams, pos - place AS diagonal, bit_or(1::BIGINT << place) AS held,
+    min(pos) AS a, max(pos) AS b FROM hits GROUP BY ALL),
+marked AS (
+  SELECT *, CASE WHEN phrase OR lag(diagonal) OVER o IS NULL OR abs(diagonal - lag(diagonal) OVER o) > {licenses.DRIFT}
+      OR a - max(b) OVER (PARTITION BY doc_id, template ORDER BY a, diagonal ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) > {licenses.GAP}
+    THEN 1 ELSE 0 END AS new
+  FROM votes WINDOW o AS (PARTITION BY doc_id, template ORDER BY a, diagonal)),
+numbered AS (
+  SELECT *, sum(new) OVER (PARTITION BY doc_id, template ORDER BY a, diagonal ROWS UNBOUNDED PRECEDING) AS span FROM marked),
+spans AS (
+  SELECT doc_id, label, phrase, min(a) AS a, bit_count(bit_or(held)) / grams AS share
+  FROM numbered GROUP BY doc_id, template, label, phrase, grams, span),
+good AS (SELECT * FROM spans WHERE share >= CASE WHEN phrase THEN 1 ELSE {licenses.COVER} END),
+found AS (
+  SELECT doc_id, count(*) FILTER (phrase) AS n_base, min(a) FILTER (phrase) AS first_word, max(a) FILTER (phrase) AS last_word,
+    string_agg(DISTINCT label, ',' ORDER BY label) FILTER (phrase) AS base_labels,
+    string_agg(DISTINCT label, ',' ORDER BY label) AS labels, max(share) AS score FROM good GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word,
+  coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, coalesce(score, 0.0)::DOUBLE AS score
+FROM d LEFT JOIN found USING (doc_id)
+"""
+
+WARC = """
+WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS n, sha1(coalesce(html, '')) AS digest FROM pages),
+k AS (SELECT *, CASE WHEN n >= 1000 THEN max(page_id) OVER (PARTITION BY digest, n) ELSE page_id END AS keep FROM p)
+SELECT page_id, n::BIGINT AS payload_bytes, digest AS payload_digest,
+  CASE WHEN keep = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN keep = page_id THEN NULL ELSE keep END AS refers_to
+FROM k
+"""
+
+EXACT = """
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents)
+SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size, doc_id = max(doc_id) OVER g AS kept,
+  sha256(t) AS text_sha256
+FROM d WINDOW g AS (PARTITION BY t)
+"""
+
+
+def _escaped(column: str) -> str:
+    out = f"replace({column}, '{chat.ESCAPE}', '{chat.ESCAPE}0')"
+    for i, c in enumerate(chat.CONTROL, 1):
+        out = f"replace({out}, '{c}', '{chat.ESCAPE}{i}')"
+    return out
+
+
+CHAT = f"""
+WITH said AS (SELECT '{chat.CLOSE}{chat.HEAD} ok {chat.BODY}' AS t),
+c AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', t FROM said UNION ALL SELECT -7, 1, '{chat.LOSS_ROLE}', t FROM said)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  sum(CASE WHEN role = '{chat.LOSS_ROLE}' THEN length(text) ELSE 0 END)::BIGINT AS loss_chars,
+  sha256(string_agg(CASE WHEN role = '{chat.LOSS_ROLE}' THEN text ELSE '' END, '' ORDER BY turn, role, text)) AS loss_sha256,
+  sum(length({_escaped("role")}) + length({_escaped("text")}) + {len("".join((chat.OPEN, chat.HEAD, chat.BODY, chat.CLOSE)))})::BIGINT
+    AS formatted_chars
+FROM c GROUP BY conv_id
+"""
+
+_WEIGHT = " ".join(f"WHEN {i} THEN {w}" for i, w in enumerate(mixing.WEIGHTS))
+MIX = rf"""
+WITH d AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
+    substr(md5(coalesce(doc_id::VARCHAR, '') || 'mix'), 1, {mixing.DIGITS}) AS place FROM documents),
+s AS (
+  SELECT source, sum(size)::BIGINT AS size,
+    CASE (row_number() OVER (ORDER BY source COLLATE C NULLS LAST) - 1) % {len(mixing.WEIGHTS)} {_WEIGHT} END AS weight,
+    row_number() OVER (ORDER BY source COLLATE C NULLS LAST) AS i
+  FROM d GROUP BY source),
+filled AS (
+  SELECT *, ({mixing.TOTAL} * sum(size) OVER () - {mixing.MOST} * coalesce(sum(size) OVER b, 0))::DOUBLE
+      / (sum(weight) OVER () - coalesce(sum(weight) OVER b, 0))::DOUBLE AS level,
+    row_number() OVER (ORDER BY size / weight, i) AS k
+  FROM s WINDOW b AS (ORDER BY size / weight, i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+stop AS (SELECT level, k FROM filled WHERE level * weight <= {mixing.MOST} * size ORDER BY k LIMIT 1),
+quota AS (
+  SELECT f.source, f.size AS source_size,
+    CASE WHEN stop.k IS NULL OR f.k < stop.k THEN {mixing.MOST} * f.size ELSE stop.level * f.weight END::DOUBLE AS target
+  FROM filled f LEFT JOIN stop ON TRUE),
+split AS (
+  SELECT *, CASE WHEN source_size = 0 THEN 0 ELSE least(floor(target / source_size), {mixing.MOST}) END::BIGINT AS whole FROM quota),
+places AS (SELECT source, place, sum(size) AS w FROM d GROUP BY source, place),
+drawn AS (
+  SELECT source, place,
+    sum(w) OVER (PARTITION BY source ORDER BY place ROWS UNBOUNDED PRECEDING) - w / 2 AS middle
+  FROM places)
+SELECT doc_id, d.size, source_size, target,
+  (d.size * (whole + CASE WHEN whole < {mixing.MOST} AND middle <= target - whole * source_size THEN 1 ELSE 0 END))::BIGINT AS taken
+FROM d JOIN split ON d.source IS NOT DISTINCT FROM split.source
+JOIN drawn ON d.source IS NOT DISTINCT FROM drawn.source AND d.place = drawn.place
+"""
+
+ORACLE: dict[str, str] = {
+    "op1_license_scan": LICENSE_SCAN,
+    "op4_warc": WARC,
+    "op6_exact_dedup": EXACT,
+    "op8_chat": CHAT,
+    "op10_mix": MIX,
+}
