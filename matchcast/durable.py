@@ -2,29 +2,26 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame, SparkSession
 
 
 def _set_folder(spark: SparkSession) -> None:
+    """Use the folder the session names; where it names none, one in the warehouse, which is shared too."""
     context = spark.sparkContext
-    if context.getCheckpointDir() is not None:
-        return
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder is None:
-        if not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        folder = tempfile.mkdtemp(prefix="matchcast-")
-    context.setCheckpointDir(folder)
+    if context.getCheckpointDir() is None:
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        context.setCheckpointDir(folder or spark.conf.get("spark.sql.warehouse.dir") + "/_checkpoints")
+    folder = context.getCheckpointDir()
+    if folder.startswith("file:") and not context.master.startswith("local"):
+        raise RuntimeError(f"{folder} is a folder of one machine; set spark.checkpoint.dir to one all executors share")
 
 
 def durable(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared checkpoint folder and return the written rows.
 
-    The folder is the one the session names in ``spark.checkpoint.dir``. A local session without
-    one gets a scratch folder; a cluster session without one is an error, because a folder of
-    the driver's machine would not survive the loss of an executor.
+    The folder is the one the session names in ``spark.checkpoint.dir``. On a cluster a ``file:``
+    folder is an error, because a folder of one machine would not survive its loss. Spark deletes
+    what is no longer referred to if ``spark.cleaner.referenceTracking.cleanCheckpoints`` is set.
     """
     _set_folder(df.sparkSession)
     return df.checkpoint(eager=True)

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from matchcast.durable import durable
+
 NUMERIC = (T.NumericType,)
 
 
@@ -49,7 +51,7 @@ def decode_target(value: Column) -> Column:
     return F.when(value == 1, F.lit("W")).when(value == 0, F.lit("L"))
 
 
-def categories(df: DataFrame, column: str, limit: int = 1000) -> list:
+def categories(df: DataFrame, column: str, limit: int) -> list:
     """The sorted distinct values of a categorical column; more than ``limit`` is an error."""
     rows = (
         df.where(F.col(column).isNotNull())
@@ -59,7 +61,7 @@ def categories(df: DataFrame, column: str, limit: int = 1000) -> list:
         .collect()
     )
     if len(rows) > limit:
-        raise ValueError(f"{column!r} has more than {limit} values, so it is no category")
+        raise ValueError(f"{column!r} has more than {limit} values")
     return sorted(row[0] for row in rows)
 
 
@@ -69,11 +71,14 @@ def category_name(value) -> str:
     return str(value)
 
 
-def one_hot(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Replace each column by 0/1 columns for all but the first of its sorted values."""
+def one_hot(df: DataFrame, columns: list[str], widest: int = 1000) -> DataFrame:
+    """Replace each column by 0/1 columns for all but the first of its sorted values.
+
+    ``widest`` is the number of columns a single one may become; with more values it is an error.
+    """
     indicators = {}
     for column in columns:
-        for value in categories(df, column)[1:]:
+        for value in categories(df, column, widest)[1:]:
             indicators[f"{column}_{category_name(value)}"] = F.coalesce(
                 (F.col(column) == F.lit(value)).cast("int"), F.lit(0)
             )
@@ -81,12 +86,22 @@ def one_hot(df: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def label_index(df: DataFrame, column: str, output: str) -> DataFrame:
-    """Position of the value among the sorted distinct values of its column, from 0."""
-    known = categories(df, column)
-    position = F.lit(None).cast("int")
-    for i, value in enumerate(known):
-        position = F.when(F.col(column) == F.lit(value), F.lit(i)).otherwise(position)
-    return df.withColumn(output, position)
+    """Position of the value among the sorted distinct values of its column, from 0.
+
+    The distinct values are numbered range by range and joined back, so there may be any number.
+    """
+    values = df.where(F.col(column).isNotNull()).select(F.col(column).alias("_value")).distinct()
+    ranged = durable(values.repartitionByRange("_value").withColumn("_slice", F.spark_partition_id()))
+    sizes = ranged.groupBy("_slice").agg(F.count(F.lit(1)).alias("n")).orderBy("_slice").collect()
+    starts, start = [], 0
+    for r in sizes:
+        starts.append((r["_slice"], start))
+        start += r["n"]
+    offsets = df.sparkSession.createDataFrame(starts, "_slice int, _start long")
+    place = F.row_number().over(Window.partitionBy("_slice").orderBy("_value")) - 1
+    numbered = ranged.withColumn("_place", place).join(F.broadcast(offsets), "_slice")
+    known = numbered.select("_value", (F.col("_start") + F.col("_place")).cast("int").alias(output))
+    return df.join(known, F.col(column) == F.col("_value"), "left").drop("_value")
 
 
 def parse_date(value: Column) -> Column:

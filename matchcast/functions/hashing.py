@@ -7,6 +7,7 @@ differently, or in another SQL engine.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -15,35 +16,57 @@ from pyspark.sql import types as T
 # A prime just below 2^31, so that the product of two residues fits a long, and two multipliers.
 MODULUS = 2147483647
 MULTIPLIERS = (48271, 69621)
+# Mixed keys are whole numbers below this.
+SPAN = MODULUS * MODULUS
 
 
 def key_residue(key: Column, dtype: T.DataType | None = None) -> Column:
-    """The key as a whole number below MODULUS; keys that are no integers are hashed first."""
-    if isinstance(dtype, T.IntegralType) or dtype is None:
-        return F.pmod(key.cast("long"), F.lit(MODULUS))
-    return F.pmod(F.xxhash64(key), F.lit(MODULUS))
+    """The key as a whole number below SPAN; keys that are no integers are hashed first."""
+    number = key.cast("long") if isinstance(dtype, T.IntegralType) or dtype is None else F.xxhash64(key)
+    return F.pmod(number, F.lit(SPAN))
+
+
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is worked out once, however often the body names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _round(residue: Column, salt: Column) -> Column:
+    """Scramble a number below MODULUS with a salt: two rounds of squaring, scaling and shifting."""
+    first, second = MULTIPLIERS
+    m = F.lit(MODULUS)
+    return _let(
+        F.pmod((residue + salt * 7919 + 1) * first, m),
+        lambda a: _let(
+            F.pmod(F.pmod(a * a + salt * 104729 + 12345, m) * second + residue, m),
+            lambda c: F.pmod(c * c + c * first, m),
+        ),
+    )
 
 
 def mix(residue: Column, salt: int | Column) -> Column:
-    """Scramble a residue with a salt: two rounds of squaring, scaling and shifting."""
+    """Scramble a residue with a salt to a number below SPAN; all its digits count.
+
+    Both halves of the key enter each half of the result, so keys that agree in one of them differ.
+    """
     salt = F.lit(salt).cast("long") if isinstance(salt, int) else salt.cast("long")
-    first, second = MULTIPLIERS
-    mixed = F.pmod((residue + salt * 7919 + 1) * first, F.lit(MODULUS))
-    mixed = F.pmod(mixed * mixed + salt * 104729 + 12345, F.lit(MODULUS))
-    mixed = F.pmod(mixed * second + residue, F.lit(MODULUS))
-    return F.pmod(mixed * mixed + mixed * first, F.lit(MODULUS))
+    m = F.lit(MODULUS)
+    low = F.pmod(residue, m)
+    high = F.round((residue - low) / MODULUS).cast("long")
+    return _let(
+        _round(F.pmod(_round(low, salt) + high, m), salt + 101),
+        lambda two: two * MODULUS + _round(F.pmod(two + low, m), salt + 211),
+    )
 
 
 def uniform(residue: Column, salt: int | Column) -> Column:
     """A number in (0, 1) for this key and salt."""
-    return (mix(residue, salt).cast("double") + 0.5) / float(MODULUS)
+    return (mix(residue, salt).cast("double") + 0.5) / float(SPAN)
 
 
 def hashed_uniform(key: Column, salt: int) -> Column:
     """A number in (0, 1) from Spark's own hash; shorter code where no other engine must agree."""
-    return (F.pmod(F.xxhash64(key, F.lit(salt)), F.lit(MODULUS)).cast("double") + 0.5) / float(
-        MODULUS
-    )
+    return (F.pmod(F.xxhash64(key, F.lit(salt)), F.lit(SPAN)).cast("double") + 0.5) / float(SPAN)
 
 
 def normal(key: Column, salt: int) -> Column:

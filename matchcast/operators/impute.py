@@ -76,23 +76,23 @@ class Standardiser:
 def fit_standardiser(
     df: DataFrame, columns: list[str], weight: str | None = None
 ) -> Standardiser:
-    """Learn means and deviations in one pass; rows may carry a weight (copies of a row)."""
-    aggregates = []
-    for c in columns:
-        if weight is None:
+    """Learn means and deviations; rows may carry a weight (copies of a row).
+
+    Weighted deviations take a second pass, from the means, so that nothing cancels.
+    """
+    if weight is None:
+        aggregates = []
+        for c in columns:
             aggregates += [F.avg(c).alias(f"{c}:mean"), F.stddev_pop(c).alias(f"{c}:std")]
-        else:
-            w, x = F.col(weight).cast("double"), F.col(c)
-            total = F.sum(F.when(x.isNotNull(), w))
-            mean = F.sum(w * x) / total
-            aggregates += [
-                mean.alias(f"{c}:mean"),
-                F.sqrt(F.greatest(F.sum(w * x * x) / total - mean * mean, F.lit(0.0))).alias(
-                    f"{c}:std"
-                ),
-            ]
-    row = df.agg(*aggregates).first()
-    return Standardiser(
-        {c: row[f"{c}:mean"] or 0.0 for c in columns},
-        {c: row[f"{c}:std"] or 1.0 for c in columns},
-    )
+        row = df.agg(*aggregates).first()
+        means = {c: row[f"{c}:mean"] or 0.0 for c in columns}
+        return Standardiser(means, {c: row[f"{c}:std"] or 1.0 for c in columns})
+    w = F.col(weight).cast("double")
+
+    def weighted(values: dict) -> dict:
+        means = {c: F.sum(w * v) / F.sum(F.when(F.col(c).isNotNull(), w)) for c, v in values.items()}
+        return df.agg(*(m.alias(c) for c, m in means.items())).first().asDict()
+
+    means = {c: m or 0.0 for c, m in weighted({c: F.col(c).cast("double") for c in columns}).items()}
+    squares = weighted({c: (F.col(c) - means[c]) * (F.col(c) - means[c]) for c in columns})
+    return Standardiser(means, {c: (squares[c] or 0.0) ** 0.5 or 1.0 for c in columns})

@@ -21,17 +21,12 @@ from pyspark.ml.classification import (
 )
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from matchcast.operators.impute import FeatureState, Standardiser, fit_standardiser
 
-TASK_ROWS = 20_000
 PARALLEL_FITS = 4
-# Early stopping of the network: length of a run, least gain, runs without gain before it stops.
-RUN_ITERATIONS = 10
-MIN_GAIN = 1e-4
-PATIENCE = 2
 FEATURES, RAW, PROBABILITY, CLASS = "_features", "_raw", "_probability", "_class"
 
 
@@ -39,7 +34,6 @@ FEATURES, RAW, PROBABILITY, CLASS = "_features", "_raw", "_probability", "_class
 class Learner:
     """One kind of model: its parameters, the values a search tries, and how to build it."""
 
-    title: str
     defaults: dict[str, Any]
     space: dict[str, list] = field(default_factory=dict)
     scaled: bool = False
@@ -47,19 +41,18 @@ class Learner:
     weights: bool = True
 
 
-# Default parameters and search spaces per model. An unlimited tree depth is held at
-# MAX_DEPTH, since a forest must fit the driver whatever the size of the table.
-MAX_DEPTH = 12
+# The deepest tree Spark ML grows; an unlimited depth is this.
+DEEPEST = 30
+# Default parameters and search spaces per model. The network is trained by L-BFGS, which
+# has no learning rate, so none is offered.
 TOLERANCE = 1e-5
 LEARNERS: dict[str, Learner] = {
     "logistic_regression": Learner(
-        "Logistic Regression",
         {"C": 1.0, "penalty": "l2", "max_iter": 1000},
         {"C": [0.001, 0.01, 0.1, 1.0, 10.0, 100.0], "penalty": ["l1", "l2"]},
         scaled=True,
     ),
     "random_forest": Learner(
-        "Random Forest",
         {"n_estimators": 100, "max_depth": None, "min_samples_leaf": 1, "max_features": "sqrt"},
         {
             "n_estimators": [50, 100, 200, 300],
@@ -69,7 +62,6 @@ LEARNERS: dict[str, Learner] = {
         },
     ),
     "gradient_boosting": Learner(
-        "Gradient Boosting",
         {
             "n_estimators": 100,
             "learning_rate": 0.1,
@@ -86,18 +78,13 @@ LEARNERS: dict[str, Learner] = {
         },
     ),
     "mlp": Learner(
-        "Neural Network (MLP)",
-        {"hidden_layer_sizes": (100,), "learning_rate_init": 0.001, "max_iter": 1000},
-        {
-            "hidden_layer_sizes": [(50,), (100,), (50, 50), (100, 50), (100, 100)],
-            "learning_rate_init": [0.001, 0.01],
-        },
+        {"hidden_layer_sizes": (100,), "max_iter": 1000},
+        {"hidden_layer_sizes": [(50,), (100,), (50, 50), (100, 50), (100, 100)]},
         scaled=True,
         weights=False,
     ),
-    "naive_bayes": Learner("Gaussian Naive Bayes", {}),
+    "naive_bayes": Learner({}),
     "linear_svm": Learner(
-        "Linear Support Vector Machine",
         {"C": 1.0, "max_iter": 1000},
         {"C": [0.1, 1.0, 10.0, 100.0]},
         scaled=True,
@@ -115,7 +102,9 @@ def learner(name: str) -> Learner:
 
 
 def _depth(value: int | None) -> int:
-    return MAX_DEPTH if value is None else min(value, 30)
+    if value is not None and value > DEEPEST:
+        raise ValueError(f"trees have a depth of {DEEPEST} at most, not {value}")
+    return DEEPEST if value is None else value
 
 
 def build(
@@ -164,7 +153,6 @@ def build(
     if name == "mlp":
         return MultilayerPerceptronClassifier(
             layers=[width, *p["hidden_layer_sizes"], 2],
-            stepSize=p["learning_rate_init"],
             maxIter=p["max_iter"],
             seed=seed,
             **with_probability,
@@ -191,24 +179,45 @@ class Classifier:
     scaler: Standardiser | None = None
     params: dict[str, Any] = field(default_factory=dict)
 
-    def score(self, df: DataFrame, output: str = "p") -> DataFrame:
+    @property
+    def vector_key(self) -> tuple | None:
+        """Members that agree in it can share one assembled vector; scaled ones have their own."""
+        return tuple(self.features) if self.scaler is None else None
+
+    def _transform(self, df: DataFrame, vector: str | None) -> DataFrame:
+        if vector is None:
+            return self.model.transform(_assemble(df, self.features, self.scaler))
+        return self.model.transform(df.withColumn(FEATURES, F.col(vector)))
+
+    def score(self, df: DataFrame, output: str = "p", vector: str | None = None) -> DataFrame:
         """Add the probability of class 1, or the class itself if the model has no probabilities.
 
-        Every input column stays as it is; only the assembled vector sees scaled values.
+        Every input column stays as it is; only the assembled vector sees scaled values. ``vector``
+        names a column that has the features assembled already.
         """
-        vector = _assemble(df, self.features, self.scaler)
-        scored = self.model.transform(vector)
+        scored = self._transform(df, vector)
         if PROBABILITY in scored.columns:
             value = vector_to_array(F.col(PROBABILITY))[1]
         else:
             value = F.col(CLASS)
         return scored.withColumn(output, value).select(*df.columns, output)
 
-    def classify(self, df: DataFrame, output: str = "prediction") -> DataFrame:
-        scored = self.model.transform(_assemble(df, self.features, self.scaler))
+    def classify(self, df: DataFrame, output: str = "prediction", vector: str | None = None) -> DataFrame:
+        scored = self._transform(df, vector)
         return scored.withColumn(output, F.col(CLASS).cast("int")).select(*df.columns, output)
 
 
+def shared_vectors(df: DataFrame, members: list[Classifier]) -> tuple[DataFrame, dict[tuple, str]]:
+    """Add one vector for each set of features that members read unscaled, and its name."""
+    names: dict[tuple, str] = {}
+    for member in members:
+        key = member.vector_key
+        if key is not None and key not in names:
+            names[key] = f"_vector_{len(names)}"
+            df = _assemble(df, member.features, None).withColumnRenamed(FEATURES, names[key])
+    return df, names
+
+
 def _assemble(df: DataFrame, features: list[str], scaler: Standardiser | None) -> DataFrame:
     inputs = {}
     for c in features:
@@ -243,45 +252,12 @@ def fit_classifier(
     vectors = _assemble(narrow, features, scaler).select(
         FEATURES, label, *([weight] if weight else [])
     )
-    # An iterative fit runs many short jobs; a small table goes faster in few tasks.
-    vectors = vectors.coalesce(-(-size["rows"] // TASK_ROWS) or 1)
-    if isinstance(estimator, MultilayerPerceptronClassifier):
-        model = _fit_until_no_better(estimator, vectors, label)
-    else:
-        model = estimator.fit(vectors)
-    return Classifier(name, list(features), model, scaler, params)
-
-
-def _fit_until_no_better(
-    estimator: MultilayerPerceptronClassifier, vectors: DataFrame, label: str
-) -> Model:
-    """Train a network in short runs and stop when a held-out tenth no longer gains.
-
-    The tenth is chosen by a hash of the row, and the best network seen is kept.
-    """
-    rows = vectors.withColumn(
-        "_held_out", F.pmod(F.xxhash64(vector_to_array(FEATURES)), F.lit(10)) == 0
-    ).persist()
-    limit, best, best_loss, worse = estimator.getMaxIter(), None, float("inf"), 0
+    vectors = vectors.persist()
     try:
-        weights, done = None, 0
-        while done < limit and worse < PATIENCE:
-            estimator.setMaxIter(min(RUN_ITERATIONS, limit - done))
-            if weights is not None:
-                estimator.setInitialWeights(weights)
-            model = estimator.fit(rows.where(~F.col("_held_out")))
-            weights, done = model.weights, done + estimator.getMaxIter()
-            p = F.greatest(
-                F.element_at(vector_to_array(PROBABILITY), F.col(label).cast("int") + 1), F.lit(1e-15)
-            )
-            loss = model.transform(rows.where("_held_out")).agg(-F.avg(F.ln(p))).first()[0]
-            if best is None or (loss is not None and loss < best_loss - MIN_GAIN):
-                best, best_loss, worse = model, loss if loss is not None else best_loss, 0
-            else:
-                worse += 1
+        model = estimator.fit(vectors)
     finally:
-        rows.unpersist()
-    return best
+        vectors.unpersist()
+    return Classifier(name, list(features), model, scaler, params)
 
 
 def in_parallel(spark: SparkSession, work, items: list, width: int = PARALLEL_FITS) -> list:
@@ -360,21 +336,26 @@ def save_classifier(
 
 @dataclass
 class Artifacts:
-    """What a scoring job loads."""
+    """What a scoring job loads: a model with a ``score`` method, and its columns' state."""
 
-    classifier: Classifier
+    classifier: Any
     state: FeatureState | None
     metrics: dict[str, float]
 
 
-def load_classifier(spark: SparkSession, path: str) -> Artifacts:
-    """Read what ``save_classifier`` wrote; a missing path raises ``FileNotFoundError``."""
+def read_summary(spark: SparkSession, path: str) -> Row:
+    """The one row that tells what is stored below ``path``."""
     try:
-        summary = spark.read.parquet(f"{path}/summary").first()
+        return spark.read.parquet(f"{path}/summary").first()
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
             raise FileNotFoundError(f"no model at {path}") from error
         raise
+
+
+def load_classifier(spark: SparkSession, path: str) -> Artifacts:
+    """Read what ``save_classifier`` wrote; a missing path raises ``FileNotFoundError``."""
+    summary = read_summary(spark, path)
     rows = spark.read.parquet(f"{path}/columns").collect()
     model = PipelineModel.load(f"{path}/model").stages[0]
     features = [r["column"] for r in sorted((r for r in rows if r["feature"] is not None), key=lambda r: r["feature"])]

@@ -12,13 +12,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from matchcast.operators.order import (
-    SMALL_ROWS,
-    coarse_edges,
-    equi_depth_bucket,
-    equi_depth_edges,
-)
-
 BY = ["run", "model", "fold"]
 # Distance of a probability to 0 and 1 in the log loss, and the calibration bins.
 LOG_EPSILON = 2.220446049250313e-16
@@ -152,63 +145,29 @@ def auc(scores: DataFrame, by: list[str] = BY) -> DataFrame:
     return auc_of_tally(tally_by_score(scores, by), by)
 
 
-def auc_of_tally(tallied: DataFrame, by: list[str], small: int = SMALL_ROWS) -> DataFrame:
+def auc_of_tally(tallied: DataFrame, by: list[str]) -> DataFrame:
     """Area under the ROC curve, ties counted half; missing when a class is absent.
 
-    The distinct scores of a large group are put into equi-depth buckets, so that a running count never
-    sorts a whole group in one task however the scores are spread. A bucket yields its positives,
-    its negatives and the pairs won inside it; the buckets' running count adds the rest.
+    The distinct scores are dealt to ranges of (group, score), so a large group is cut into slices of
+    like size wherever its scores lie. A slice yields its positives, its negatives and the pairs won
+    inside it; the running count over a group's slices adds the rest. Nothing is joined.
     """
-    groups = tallied.groupBy(*by).agg(
-        equi_depth_edges(F.col("p")).alias("edges"),
-        F.sum("pos").alias("positives"),
-        F.sum("neg").alias("negatives"),
-        F.count(F.lit(1)).alias("distinct_scores"),
-    )
-    edges = groups.withColumn("coarse", coarse_edges(F.col("edges")))
-    same_group = reduce(
-        lambda a, b: a & b, (F.col(f"t.{c}").eqNullSafe(F.col(f"e.{c}")) for c in by), F.lit(True)
-    )
-    # A group small enough for one task is one bucket.
-    bucket = F.when(
-        F.col("distinct_scores") > small,
-        equi_depth_bucket(F.col("p"), F.col("edges"), F.col("coarse")),
-    ).otherwise(0)
-    bucketed = (
-        tallied.alias("t")
-        .join(edges.alias("e"), same_group)
-        .select(
-            *(F.col(f"t.{c}").alias(c) for c in by),
-            "p",
-            "pos",
-            "neg",
-            "positives",
-            "negatives",
-            bucket.alias("bucket"),
-        )
-    )
-    before = Window.partitionBy(*by, "bucket").orderBy("p").rowsBetween(Window.unboundedPreceding, -1)
+    sliced = tallied.repartitionByRange(*by, "p").withColumn("_slice", F.spark_partition_id())
+    before = Window.partitionBy(*by, "_slice").orderBy("p").rowsBetween(Window.unboundedPreceding, -1)
     below = F.coalesce(F.sum("neg").over(before), F.lit(0))
     cells = (
-        bucketed.withColumn("won", F.col("pos") * (below + F.col("neg") / 2.0))
-        .groupBy(*by, "bucket")
-        .agg(
-            F.sum("won").alias("won"),
-            F.sum("pos").alias("pos"),
-            F.sum("neg").alias("neg"),
-            F.first("positives").alias("positives"),
-            F.first("negatives").alias("negatives"),
-        )
+        sliced.withColumn("won", F.col("pos") * (below + F.col("neg") / 2.0))
+        .groupBy(*by, "_slice")
+        .agg(F.sum("won").alias("won"), F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
     )
-    # At most 1024 buckets per group from here on.
-    earlier = Window.partitionBy(*by).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    # At most as many rows per group from here on as there were slices.
+    earlier = Window.partitionBy(*by).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     lower = F.coalesce(F.sum("neg").over(earlier), F.lit(0))
-    won = F.sum("won_all")
-    pairs = F.first("positives").cast("double") * F.first("negatives").cast("double")
+    pairs = F.sum("pos").cast("double") * F.sum("neg").cast("double")
     return (
         cells.withColumn("won_all", F.col("won") + F.col("pos").cast("double") * lower)
         .groupBy(*by)
-        .agg(F.try_divide(won, pairs).alias("auc"))
+        .agg(F.try_divide(F.sum("won_all"), pairs).alias("auc"))
     )
 
 

@@ -1,8 +1,8 @@
 """Exact order statistics without sorting a whole table in one task.
 
 ``keys_at`` finds the sort keys at given positions of a total order, so that a split or a fold is
-afterwards a plain comparison of each row's key with a few constants. ``exact_medians`` finds the
-medians of many columns at once. ``equi_depth`` buckets values so that no bucket is large.
+afterwards a plain comparison of each row's key with a few constants. ``values_at`` finds the values
+of many columns at chosen ranks at once, for medians and quantiles.
 """
 
 from __future__ import annotations
@@ -15,11 +15,6 @@ from pyspark.sql import functions as F
 
 from matchcast.durable import durable
 
-# A frame with at most this many rows may meet in one task.
-SMALL_ROWS = 1_000_000
-# Rank error of the quantile sketches, as a share of the rows.
-SKETCH_ERROR = 5e-4
-
 
 # --- keys at positions -----------------------------------------------------------------------
 
@@ -114,171 +109,67 @@ def at_or_after(df: DataFrame, order: list[str], key: Row) -> Column:
     return F.struct(*(F.col(c) for c in order)) >= bound
 
 
-# --- medians ---------------------------------------------------------------------------------
+# --- values at ranks -------------------------------------------------------------------------
 
 
-def exact_medians(df: DataFrame, columns: list[str], small: int = SMALL_ROWS) -> dict:
-    """Exact median of every column (mean of the two middle values for an even count).
+def values_at(
+    df: DataFrame, columns: list[str], choose: Callable[[int], list[int]]
+) -> dict[str, list[float]]:
+    """The values of each column at chosen ranks (from 0) of its ascending order.
 
-    Values must be free of NaN; a column without values has none. A small frame takes one
-    aggregate, its columns stacked so that they are spread over tasks. In a large one the lower middle value is found by ``_kth_values``, and one more
-    aggregate yields the upper one.
+    ``choose`` turns a column's number of values, nulls aside, into ranks. Values must be free of
+    NaN. The columns are stacked and counted per distinct value, combined before the shuffle; the
+    counts are dealt to ranges of values. One sum per range tells in which of them a rank lies, and
+    only those ranges are sorted. No column, nor a value that fills it, meets in one task.
     """
-    if not columns:
+    counts = _stack(df, columns).groupBy("name", "value").agg(F.count(F.lit(1)).alias("n"))
+    ranged = durable(
+        counts.repartitionByRange("name", "value").withColumn("_slice", F.spark_partition_id())
+    )
+    sums: dict[str, list[tuple[int, int]]] = {}
+    for r in ranged.groupBy("name", "_slice").agg(F.sum("n").alias("n")).collect():
+        sums.setdefault(r["name"], []).append((r["_slice"], r["n"]))
+    targets, asked = [], {}
+    for name, slices in sums.items():
+        asked[name] = choose(sum(n for _, n in slices))
+        start = 0
+        for piece, n in sorted(slices):
+            inside = sorted({r - start for r in asked[name] if start <= r < start + n})
+            if inside:
+                targets.append((name, piece, start, inside))
+            start += n
+    if not targets:
         return {}
-    if df.count() <= small:
-        found = _stack(df, columns).groupBy("name").agg(F.median("value").alias("median"))
-        return dict.fromkeys(columns) | {r["name"]: r["median"] for r in found.collect()}
-
-    counts = df.agg(*(F.count(c).alias(c) for c in columns)).first().asDict()
-    ranks = {c: (counts[c] - 1) // 2 for c in columns if counts[c] > 0}
-    lower = _kth_values(df, ranks, small)
-    checks = []
-    for c, value in lower.items():
-        checks.append(F.count_if(F.col(c) <= value).alias(f"{c}:upto"))
-        checks.append(F.min(F.when(F.col(c) > value, F.col(c))).alias(f"{c}:next"))
-    seen = df.agg(*checks).first()
-    medians: dict[str, float | None] = dict.fromkeys(columns)
-    for c, value in lower.items():
-        upper = value if seen[f"{c}:upto"] > counts[c] // 2 else seen[f"{c}:next"]
-        medians[c] = (value + upper) / 2
-    return medians
+    wanted = df.sparkSession.createDataFrame(
+        targets, "name string, _slice int, _start long, ranks array<long>"
+    )
+    running = Window.partitionBy("name", "_slice").orderBy("value")
+    ends = ranged.join(wanted, ["name", "_slice"]).withColumn("_end", F.sum("n").over(running))
+    hits = F.filter("ranks", lambda r: (r < F.col("_end")) & (r >= F.col("_end") - F.col("n")))
+    found = {
+        (r["name"], r["rank"]): r["value"]
+        for r in ends.select("name", "value", "_start", F.explode(hits).alias("hit"))
+        .select("name", "value", (F.col("_start") + F.col("hit")).alias("rank"))
+        .collect()
+    }
+    return {name: [found[name, r] for r in ranks] for name, ranks in asked.items()}
 
 
-def _kth_values(df: DataFrame, ranks: dict[str, int], small: int) -> dict[str, float]:
-    """The value at a rank (from 0) of each column.
+def exact_medians(df: DataFrame, columns: list[str]) -> dict:
+    """Exact median of every column (mean of the two middle values for an even count).
 
-    Every round takes a few approximate quantiles next to the rank (a bounded sketch, merged in a
-    tree) as cuts, counts exactly how many values lie on and between the cuts, and goes on with the
-    gap that holds the rank. A value that occurs very often is a cut itself, and then found.
+    Values must be free of NaN; a column without values has none.
     """
-    gaps: dict[str, tuple[float | None, float | None]] = {c: (None, None) for c in ranks}
-    left = dict(ranks)
-    found: dict[str, float] = {}
-    counted = df.agg(*(F.count(c).alias(c) for c in ranks)).first()
-    size = {c: counted[c] for c in ranks}
-    while True:
-        wide = [c for c in ranks if c not in found and size[c] > small]
-        if not wide:
-            break
-        kept = df.select(*(F.when(_inside(c, *gaps[c]), F.col(c)).alias(c) for c in wide))
-        near = {c: _fractions_near(left[c] / size[c]) for c in wide}
-        asked = sorted(set().union(*near.values()))
-        quantiles = kept.approxQuantile(wide, asked, SKETCH_ERROR)
-        cuts = {
-            c: sorted({v for f, v in zip(asked, q) if f in near[c]}) for c, q in zip(wide, quantiles)
-        }
-        # An even place is a gap between two cuts, an odd place is a cut itself.
-        places = F.array(
-            *(
-                F.when(
-                    F.col(c).isNotNull(),
-                    F.struct(F.lit(c).alias("name"), _place(F.col(c), cuts[c]).alias("place")),
-                )
-                for c in wide
-            )
-        )
-        tallies: dict[str, dict[int, int]] = {c: {} for c in wide}
-        for row in _explode_count(kept, places, ["name", "place"]).collect():
-            tallies[row["name"]][row["place"]] = row["n"]
-        for c in wide:
-            for place in sorted(tallies[c]):
-                if left[c] < tallies[c][place]:
-                    break
-                left[c] -= tallies[c][place]
-            size[c] = tallies[c][place]
-            if place % 2:
-                found[c] = cuts[c][place // 2]
-            else:
-                low, high = gaps[c]
-                i = place // 2
-                gaps[c] = (cuts[c][i - 1] if i else low, cuts[c][i] if i < len(cuts[c]) else high)
-    rest = [c for c in ranks if c not in found]
-    return found | (_read_ranks(df, {c: gaps[c] for c in rest}, left) if rest else {})
-
-
-def _fractions_near(target: float) -> set[float]:
-    steps = (-2, -1, 0, 1, 2)
-    return {min(1.0, max(0.0, target + s * SKETCH_ERROR)) for s in steps}
+    if not columns:
+        return {}
+    middle = values_at(df, columns, lambda n: [(n - 1) // 2, n // 2])
+    return dict.fromkeys(columns) | {c: (low + high) / 2 for c, (low, high) in middle.items()}
 
 
 def _stack(df: DataFrame, columns: list[str]) -> DataFrame:
-    """One row per column and row: ``name, value``."""
+    """One row per column and row that has a value: ``name, value``."""
     cells = (
         F.struct(F.lit(c).alias("name"), F.col(c).cast("double").alias("value")) for c in columns
     )
-    return df.select(F.explode(F.array(*cells)).alias("cell")).select("cell.*")
-
-
-def _inside(column: str, low: float | None, high: float | None) -> Column:
-    value = F.col(column)
-    inside = value.isNotNull()
-    if low is not None:
-        inside &= value > low
-    if high is not None:
-        inside &= value < high
-    return inside
-
-
-def _place(value: Column, cuts: list[float]) -> Column:
-    edges = F.array(*(F.lit(float(e)) for e in cuts))
-    return F.size(F.filter(edges, lambda e: e < value)) * 2 + F.array_contains(
-        edges, value.cast("double")
-    ).cast("int")
-
-
-def _explode_count(df: DataFrame, cells: Column, fields: list[str]) -> DataFrame:
-    """Count the non-null structs of an array column; combined before the shuffle."""
-    exploded = df.select(F.explode(F.filter(cells, lambda x: x.isNotNull())).alias("cell"))
-    return exploded.groupBy(*(f"cell.{f}" for f in fields)).agg(F.count(F.lit(1)).alias("n"))
-
-
-def _read_ranks(df: DataFrame, gaps: dict[str, tuple], ranks: dict[str, int]) -> dict[str, float]:
-    """Read the ranks off gaps small enough to be sorted in one task each."""
-    cells = F.array(
-        *(
-            F.when(
-                _inside(c, *gap),
-                F.struct(F.lit(c).alias("name"), F.col(c).cast("double").alias("value")),
-            )
-            for c, gap in gaps.items()
-        )
-    )
-    counts = _explode_count(df, cells, ["name", "value"])
-    running = Window.partitionBy("name").orderBy("value")
-    ends = counts.withColumn("end", F.sum("n").over(running))
-    covers = reduce(
-        lambda a, b: a | b,
-        (
-            (F.col("name") == c)
-            & (F.col("end") > ranks[c])
-            & (F.col("end") - F.col("n") <= ranks[c])
-            for c in gaps
-        ),
-    )
-    return {r["name"]: r["value"] for r in ends.where(covers).collect()}
-
-
-# --- equi-depth buckets ----------------------------------------------------------------------
-
-STEP = 32
-FRACTIONS = [i / (STEP * STEP) for i in range(1, STEP * STEP)]
-
-
-def equi_depth_edges(value: Column) -> Column:
-    """Aggregate: 1023 ascending edges that cut the values into parts of like size."""
-    return F.percentile_approx(value, FRACTIONS, 2 * STEP * STEP)
-
-
-def coarse_edges(edges: Column) -> Column:
-    """Every 32nd edge."""
-    return F.transform(
-        F.sequence(F.lit(1), F.lit(STEP - 1)), lambda i: F.element_at(edges, i * STEP)
-    )
-
-
-def equi_depth_bucket(value: Column, edges: Column, coarse: Column) -> Column:
-    """Number of edges below the value, found in two steps of 32 comparisons."""
-    part = F.size(F.filter(coarse, lambda e: e < value))
-    rest = F.slice(edges, part * STEP + 1, STEP - 1)
-    return part * STEP + F.size(F.filter(rest, lambda e: e < value))
+    stacked = df.select(F.explode(F.array(*cells)).alias("cell")).select("cell.*")
+    return stacked.where(F.col("value").isNotNull())

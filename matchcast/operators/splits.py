@@ -11,7 +11,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
-from matchcast.functions.hashing import MODULUS, key_residue, mix, uniform
+from matchcast.functions.hashing import SPAN, key_residue, mix, uniform
 from matchcast.operators.order import at_or_after, keys_at
 from matchcast.schema import GAME_ORDER, ROW_KEY
 
@@ -111,7 +111,7 @@ def stratified_folds(
     Rows of a class are ordered by a hash of their key and that order is cut into equal runs.
     """
     hashed = mix(key_residue(F.col(key), df.schema[key].dataType), seed)
-    width = MODULUS // HASH_GROUPS + 1
+    width = SPAN // HASH_GROUPS + 1
     # The label and a hash range form the coarse key, so that few rows need sorting.
     keyed = df.withColumns(
         {"_class": F.col(label), "_hash": hashed, "_range": F.floor(hashed / width)}

@@ -11,14 +11,13 @@ from pyspark.sql import functions as F
 
 from matchcast.durable import durable
 from matchcast.operators import backtest, compare, metrics
-from matchcast.operators.ensembles import Calibrated, fit_calibrated
+from matchcast.operators.ensembles import Calibrated, fit_calibrated, save_model
 from matchcast.operators.learners import (
     RECOMMENDED,
     Classifier,
     fit_classifier,
     in_parallel,
     learner,
-    save_classifier,
 )
 from matchcast.operators.selection import eliminate_features, mutual_information, rank_by_score
 from matchcast.operators.tuning import N_ITER, grid_search, random_search
@@ -144,13 +143,20 @@ def train_model(
             F.col(LABEL).cast("int").alias("y"), "p",
         )
 
+    calibrated = isinstance(model, Calibrated)
+
     def validate(number: int) -> DataFrame:
-        fitted = fit_classifier(
-            train.where(F.col("fold") < number), features, LABEL, name, chosen, seed=seed
-        )
+        earlier = train.where(F.col("fold") < number)
+        if calibrated:
+            # Folds before this one calibrate; the rows before the first fold only train.
+            fitted = fit_calibrated(earlier, features, LABEL, name, chosen, folds=number, seed=seed)
+        else:
+            fitted = fit_classifier(earlier, features, LABEL, name, chosen, seed=seed)
         return scored(fitted, train.where(F.col("fold") == number), RUN_CV, number)
 
-    parts = in_parallel(train.sparkSession, validate, list(range(folds)))
+    # The first fold has none before it to calibrate on.
+    numbers = list(range(1 if calibrated else 0, folds))
+    parts = in_parallel(train.sparkSession, validate, numbers)
     parts.append(scored(model, prepared.test, RUN_TEST, 0))
     evaluated = durable(metrics.evaluate(reduce(DataFrame.unionByName, parts)))
     cv = evaluated.where(F.col("run") == RUN_CV).agg(
@@ -162,6 +168,34 @@ def train_model(
     return Training(name, model, chosen, cv.first().asDict(), test)
 
 
+def train_models(
+    prepared: Prepared,
+    models: Models,
+    tune: str | None = None,
+    calibrate: bool = False,
+    folds: int = 5,
+    seed: int = 42,
+    **options: Any,
+) -> tuple[DataFrame, Training]:
+    """Train each model as ``train_model`` does and keep the best by AUC on the test rows.
+
+    Returns one row per model with its metrics, the best first; a model without AUC comes last.
+    """
+    done = {
+        m: train_model(prepared, name, params, tune, calibrate=calibrate, folds=folds, seed=seed, **options)
+        for m, (name, params) in models.items()
+    }
+    order = sorted(done, key=lambda m: (done[m].test_metrics["auc"] is None, -(done[m].test_metrics["auc"] or 0.0), m))
+    kept = ("accuracy", "auc", "brier", "log_loss")
+    rows = [
+        (i, m, *(done[m].cv_metrics[f"cv_{c}"] for c in kept[:3]), *(done[m].test_metrics[c] for c in kept))
+        for i, m in enumerate(order, start=1)
+    ]
+    cv, test = (", ".join(f"{run}_{c} double" for c in names) for run, names in (("cv", kept[:3]), ("test", kept)))
+    table = prepared.rows.sparkSession.createDataFrame(rows, f"rank int, model string, {cv}, {test}")
+    return table, done[order[0]]
+
+
 def production_readiness(
     model: Classifier | Calibrated,
     prepared: Prepared,
@@ -214,7 +248,7 @@ def run_experiment(
         numbers = {
             k: v for k, v in final.first().asDict().items() if isinstance(v, (int, float))
         }
-        save_classifier(
+        save_model(
             games.sparkSession, f"{output_dir}/production_model", model, prepared.state, numbers
         )
     return comparison, verdict

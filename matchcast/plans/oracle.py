@@ -186,14 +186,27 @@ ORACLE["temporal_layout_rows"] = query(
 )
 
 
-def mixed(residue: str, salt: int | str) -> str:
-    """The keyed hash in SQL."""
+def mixed_hash(source: str, keep: str, salt: int | str) -> str:
+    """The keyed hash of ``game_id`` as column ``h``, step by step, beside the columns kept."""
     m = 2147483647
-    a = f"((({residue}) + ({salt}) * 7919 + 1) * 48271) % {m}"
-    b = f"(({a}) * ({a}) + ({salt}) * 104729 + 12345) % {m}"
-    c = f"(({b}) * 69621 + ({residue})) % {m}"
-    return f"(({c}) * ({c}) + ({c}) * 48271) % {m}"
+    steps = [f"game_id % ({m}::BIGINT * {m}) AS key", f"key % {m} AS low", f"key // {m} AS high"]
 
+    def scramble(name: str, start: str, shift: int) -> None:
+        s = f"(({salt}) + {shift})"
+        steps.append(f"{start} AS {name}_0")
+        steps.append(f"(({name}_0 + {s} * 7919 + 1) * 48271) % {m} AS {name}_1")
+        steps.append(f"({name}_1 * {name}_1 + {s} * 104729 + 12345) % {m} AS {name}_2")
+        steps.append(f"({name}_2 * 69621 + {name}_0) % {m} AS {name}_3")
+        steps.append(f"({name}_3 * {name}_3 + {name}_3 * 48271) % {m} AS {name}")
+
+    scramble("one", "low", 0)
+    scramble("two", f"(one + high) % {m}", 101)
+    scramble("three", f"(two + low) % {m}", 211)
+    steps.append(f"two * {m} + three AS h")
+    return f"SELECT {keep}, h FROM (SELECT {keep}, {', '.join(steps)} FROM {source})"
+
+
+UNIFORM = "(h::DOUBLE + 0.5e0) / 4611686014132420609e0"
 
 ORACLE["stratified_fold_rows"] = query(
     [GAMES],
@@ -201,12 +214,11 @@ ORACLE["stratified_fold_rows"] = query(
                WHEN pos < 3 * n // 5 THEN 2 WHEN pos < 4 * n // 5 THEN 3 ELSE 4 END AS INTEGER) AS fold
         FROM (SELECT game_id, outcome, count(*) OVER (PARTITION BY outcome) AS n,
                      row_number() OVER (PARTITION BY outcome ORDER BY h, game_id) - 1 AS pos
-              FROM (SELECT game_id, outcome, {mixed('game_id % 2147483647', 42)} AS h FROM games))""",
+              FROM ({mixed_hash('games', 'game_id, outcome', 42)}))""",
 )
 ORACLE["random_split_rows"] = query(
     [GAMES],
-    f"""SELECT game_id, ({mixed('game_id % 2147483647', 42)} + 0.5e0) / 2147483647e0 < 0.2e0 AS is_test
-        FROM games""",
+    f"SELECT game_id, {UNIFORM} < 0.2e0 AS is_test FROM ({mixed_hash('games', 'game_id', 42)})",
 )
 ORACLE["prepared_rows"] = query(
     TO_PREPARED,
@@ -542,8 +554,8 @@ def _draws(iterations: int) -> list[str]:
         GAMES,
         f"""uniforms AS (
               SELECT game_id, home_team_win_pct, CAST(i AS INTEGER) AS iteration,
-                     ({mixed('game_id % 2147483647', '(42 + i)')} + 0.5e0) / 2147483647e0 AS u
-              FROM games, (SELECT unnest(range({iterations})) AS i)
+                     {UNIFORM} AS u
+              FROM ({mixed_hash(f"games, (SELECT unnest(range({iterations})) AS i)", "game_id, home_team_win_pct, i", "42 + i")})
             ),
             draws AS (SELECT *, CASE {count} ELSE 11 END AS weight FROM uniforms)""",
     ]

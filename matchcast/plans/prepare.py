@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from matchcast.durable import durable
 from matchcast.functions.encode import encode_target, parse_date
 from matchcast.operators.impute import FeatureState, apply_features, fit_features
 from matchcast.operators.splits import temporal_layout
@@ -45,14 +46,16 @@ def prepare_train_test(
 ) -> Prepared:
     """Parse dates, encode the target, split in time, fit features on train, apply to all.
 
-    Games without an outcome are left out unless ``keep_unplayed`` asks for them as losses.
+    Games without an outcome are left out unless ``keep_unplayed`` asks for them as losses. The dated
+    and encoded games are written once; everything that is learned, and every use of the rows,
+    reads them from there.
     """
     if target not in games.columns:
         raise ValueError(f"no target column {target!r}")
     played = games if keep_unplayed else games.where(F.col(target).isNotNull())
     dated = played.withColumn(order[0], parse_date(F.col(order[0])))
     encoded = encode_target(dated, target).withColumnRenamed(target, LABEL)
-    laid_out = temporal_layout(encoded, test_size, folds, order)
+    laid_out = temporal_layout(durable(encoded), test_size, folds, order)
     not_features = (LABEL, ROW_KEY, "fold", *[k for k in order if k not in METADATA_COLUMNS])
     state = fit_features(laid_out.where(~F.col("is_test")), exclude=not_features)
     rows = apply_features(laid_out, state)

@@ -15,12 +15,9 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 
 def spread(df: DataFrame, key: str) -> DataFrame:
-    """Hash a table by its key if it is stored in fewer splits than there are cores.
-
-    A large table has splits enough and is left as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+    """Hash a table by its key over at least as many partitions as there are cores."""
+    splits = max(df.sparkSession.sparkContext.defaultParallelism, df.rdd.getNumPartitions())
+    return df.repartition(splits, key)
 
 
 def load_games(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -113,6 +113,13 @@ def test_uniforms_and_normals_look_random(spark):
     assert abs(lag.agg(F.corr("a", "next")).first()[0]) < 0.03
 
 
+def test_keys_of_one_residue_are_drawn_apart(spark):
+    keys = spark.createDataFrame([(5 + i * 2147483647,) for i in range(400)], "id long")
+    u = uniform(key_residue(F.col("id")), 42)
+    row = keys.select(u.alias("u")).agg(F.countDistinct("u"), F.avg("u"), F.var_pop("u")).first()
+    assert row[0] == 400 and abs(row[1] - 0.5) < 0.06 and abs(row[2] - 1 / 12) < 0.02
+
+
 def test_poisson_counts(spark):
     u = uniform(key_residue(F.col("id")), 3)
     row = with_poisson(spark.range(30000), u, "k").agg(F.avg("k"), F.var_pop("k")).first()

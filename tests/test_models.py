@@ -188,8 +188,8 @@ def test_selection_methods(prepared):
     assert len(kept) == 5 and ranked.count() == len(prepared.features)
     kept, _ = selection.select_k_best(prepared.train, FEW, LABEL, 2)
     assert len(kept) == 2
-    approximate = selection.mutual_information(prepared.train, FEW, LABEL, exact_rows=0)
-    assert {r["score"] >= 0 for r in approximate.collect()} == {True}
+    information = selection.mutual_information(prepared.train, FEW, LABEL)
+    assert {r["score"] >= 0 for r in information.collect()} == {True}
     with pytest.raises(ValueError):
         selection.select_k_best(prepared.train, FEW, LABEL, 2, "chi2")
 
@@ -244,5 +244,67 @@ def test_experiment(spark, games, tmp_path):
     row = verdict.first()
     assert row["model"] == comparison.best_name and row["roi"] is not None
     assert spark.read.option("header", True).csv(str(tmp_path / "rankings")).count() == 2
-    loaded = learners.load_classifier(spark, str(tmp_path / "production_model"))
+    loaded = ensembles.load_model(spark, str(tmp_path / "production_model"))
     assert loaded.classifier.name == models[comparison.best_name][0] and "auc" in loaded.metrics
+
+
+def test_every_kind_of_model_is_stored(spark, prepared, tmp_path):
+    train = prepared.train
+    bayes = ("naive_bayes", {})
+    kinds = {
+        "classifier": learners.fit_classifier(train, FEW, LABEL, "logistic_regression"),
+        "voting": ensembles.fit_voting(train, FEW, [bayes, ("logistic_regression", {})], LABEL, [2.0, 1.0]),
+        "stacking": ensembles.fit_stacking(train, FEW, [bayes], LABEL, folds=2),
+        "calibrated": ensembles.fit_calibrated(train, FEW, LABEL, "naive_bayes"),
+    }
+    for kind, model in kinds.items():
+        path = str(tmp_path / kind)
+        ensembles.save_model(spark, path, model, prepared.state, {"auc": 0.5})
+        loaded = ensembles.load_model(spark, path)
+        assert loaded.metrics == {"auc": 0.5} and loaded.state == prepared.state
+        want = {r["game_id"]: r["p"] for r in model.score(prepared.test).select("game_id", "p").collect()}
+        got = {r["game_id"]: r["p"] for r in loaded.classifier.score(prepared.test).select("game_id", "p").collect()}
+        assert got == want, kind
+    with pytest.raises(FileNotFoundError):
+        ensembles.load_model(spark, str(tmp_path / "absent"))
+
+
+def test_search_stands_a_fold_of_one_class(spark):
+    rows = [(i, float(i % 7), int(i % 2 if fold < 2 else 1), fold) for fold in range(3) for i in range(fold * 30, fold * 30 + 30)]
+    train = spark.createDataFrame(rows, "game_id long, x double, label int, fold int")
+    single = train.where("fold = 2").withColumn("fold", F.lit(1)).unionByName(train.where("fold = 0"))
+    found = tuning.search(single, ["x"], name="logistic_regression", candidates=[{}, {"C": 0.1}], folds=2)
+    assert [r["cv_auc"] for r in found.candidates.collect()] == [None, None]
+
+
+def test_weighted_deviation_does_not_cancel(spark):
+    from matchcast.operators.impute import fit_standardiser
+
+    df = spark.createDataFrame([(1e9 + d, w) for d, w in ((0.0, 1), (1.0, 2), (2.0, 1))], "x double, w int")
+    found = fit_standardiser(df, ["x"], "w")
+    assert found.means["x"] == 1e9 + 1 and abs(found.deviations["x"] - 0.5**0.5) < 1e-6
+
+
+def test_depth_is_spark_s_or_refused():
+    assert learners._depth(None) == 30 and learners._depth(7) == 7
+    with pytest.raises(ValueError):
+        learners._depth(31)
+
+
+def test_augment_moves_whole_numbers(spark):
+    rows = spark.range(400).select(
+        F.col("id").alias("game_id"), (F.col("id") % 50).cast("int").alias("home_games"), (F.col("id") % 9).alias("home_rank"),
+    )
+    copies = sampling.augment(rows, spread=0.5).where("is_synthetic").join(rows.withColumnRenamed("home_games", "was"), "game_id")
+    assert copies.where("home_games != was").count() > copies.count() / 2
+    assert dict(copies.dtypes)["home_games"] == "int"
+
+
+def test_training_several_models_keeps_the_best_on_test_rows(prepared):
+    models = {"bayes": ("naive_bayes", {}), "linear": ("logistic_regression", {})}
+    table, best = experiment.train_models(prepared, models)
+    rows = table.orderBy("rank").collect()
+    assert rows[0]["test_auc"] >= rows[1]["test_auc"] and models[rows[0]["model"]][0] == best.name
+    calibrated = experiment.train_model(prepared, "naive_bayes", calibrate=True)
+    plain = experiment.train_model(prepared, "naive_bayes")
+    assert calibrated.cv_metrics["cv_brier"] != plain.cv_metrics["cv_brier"]

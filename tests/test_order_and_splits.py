@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from matchcast.operators import splits
-from matchcast.operators.order import _kth_values, exact_medians
+from matchcast.operators.order import exact_medians, values_at
 from matchcast.schema import GAME_ORDER
 
 
@@ -99,7 +99,7 @@ def test_split_plan_has_no_shuffle_of_its_own(spark, games):
     assert "Exchange" not in plan.split("InMemoryRelation")[0]
 
 
-def test_medians_by_narrowing(spark):
+def test_medians_and_ranks(spark):
     rng = random.Random(5)
     n = 4000
     rows = []
@@ -121,10 +121,12 @@ def test_medians_by_narrowing(spark):
         present = [r[i] for r in rows if r[i] is not None]
         expected[c] = statistics.median(present) if present else None
     assert exact_medians(df, columns) == expected
-    assert exact_medians(df, columns, small=50) == expected
-    ranks = {"u": 0, "ties": n - 1, "gap": 17}
-    got = _kth_values(df, ranks, 50)
-    assert got == {c: sorted(r[columns.index(c)] for r in rows)[k] for c, k in ranks.items()}
+    spread = df.repartition(7)
+    got = values_at(spread, columns, lambda k: [0, k // 3, k // 3, k - 1])
+    for i, c in enumerate(columns):
+        present = sorted(r[i] for r in rows if r[i] is not None)
+        k = len(present)
+        assert got.get(c) == ([present[0], present[k // 3], present[k // 3], present[-1]] if present else None)
 
 
 def test_median_columns_may_be_absent(spark):

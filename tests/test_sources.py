@@ -31,7 +31,7 @@ def test_upsert_inserts_updates_and_keeps_creation_time(spark, tmp_path):
     assert stored(spark, path) == after
 
 
-def test_upsert_with_a_hot_key_and_many_partitions(spark, tmp_path, monkeypatch):
+def test_upsert_with_a_hot_key_and_many_partitions(spark, tmp_path):
     path = str(tmp_path / "t")
     rows = spark.range(3000).select(
         F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("home_team"),
@@ -39,7 +39,6 @@ def test_upsert_with_a_hot_key_and_many_partitions(spark, tmp_path, monkeypatch)
         F.col("id").cast("double").alias("p"),
     )
     assert writers.upsert(rows, path, order=["p"])
-    monkeypatch.setattr(writers, "MAX_PRUNED", 3)
     assert writers.upsert(rows.where("p < 1500").withColumn("p", -F.col("p")), path, order=["p"])
     got = spark.read.parquet(path)
     assert got.count() == 2001
