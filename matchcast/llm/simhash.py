@@ -146,15 +146,15 @@ def wide_links(nodes: DataFrame, similarity: float) -> DataFrame:
     before it; a block on which very many meet is cut into 64 parts whose heads are compared in the
     same way. Which blocks are so large is told by a sample, and it decides the cutting alone.
     """
-    balls = [
-        F.transform(
-            F.array(*[F.lit(m).cast("long") for m in (0, *(1 << b for b in range(24)))]),
-            lambda m, w=word, s=shift, k=k: F.shiftright(F.get("words", F.lit(w)), s).bitwiseAND(BLOCK_MASK).bitwiseXOR(m)
-            + F.lit(k << 24),
-        )
+    blocks = [
+        F.shiftright(F.get("words", F.lit(word)), shift).bitwiseAND(BLOCK_MASK) + F.lit(k << 24)
         for k, (word, shift) in enumerate(BLOCKS)
     ]
-    met = nodes.select("node", F.get("words", F.lit(0)).alias("first"), F.explode(F.concat(*balls)).alias("v"))
+    masks = F.array(*[F.lit(m).cast("long") for m in (0, *(1 << b for b in range(24)))])
+    each = nodes.select("node", F.get("words", F.lit(0)).alias("first"), F.explode(F.array(*blocks)).alias("block"))
+    met = each.select("node", "first", "block", F.explode(masks).alias("mask")).select(
+        "node", "first", F.col("block").bitwiseXOR(F.col("mask")).alias("v")
+    )
     sample = met.filter(F.pmod(F.xxhash64("node"), F.lit(512)) == 0).groupBy("v").agg(F.count("*").alias("n"))
     large = settle(sample.orderBy(F.desc("n"), "v").limit(HOT_SHARE).filter("n > 20").select("v", F.lit(True).alias("large")))
     salt = F.when(F.col("large"), F.pmod(F.xxhash64("node"), F.lit(SALTS)).cast("int")).otherwise(F.lit(0))
