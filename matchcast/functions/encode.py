@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from matchcast.durable import durable
+from matchcast.operators.order import with_position
 
 NUMERIC = (T.NumericType,)
 
@@ -91,16 +91,7 @@ def label_index(df: DataFrame, column: str, output: str) -> DataFrame:
     The distinct values are numbered range by range and joined back, so there may be any number.
     """
     values = df.where(F.col(column).isNotNull()).select(F.col(column).alias("_value")).distinct()
-    ranged = durable(values.repartitionByRange("_value").withColumn("_slice", F.spark_partition_id()))
-    sizes = ranged.groupBy("_slice").agg(F.count(F.lit(1)).alias("n")).orderBy("_slice").collect()
-    starts, start = [], 0
-    for r in sizes:
-        starts.append((r["_slice"], start))
-        start += r["n"]
-    offsets = df.sparkSession.createDataFrame(starts, "_slice int, _start long")
-    place = F.row_number().over(Window.partitionBy("_slice").orderBy("_value")) - 1
-    numbered = ranged.withColumn("_place", place).join(F.broadcast(offsets), "_slice")
-    known = numbered.select("_value", (F.col("_start") + F.col("_place")).cast("int").alias(output))
+    known = with_position(values.orderBy("_value"), output).withColumn(output, F.col(output).cast("int"))
     return df.join(known, F.col(column) == F.col("_value"), "left").drop("_value")
 
 

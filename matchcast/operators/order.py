@@ -109,6 +109,30 @@ def at_or_after(df: DataFrame, order: list[str], key: Row) -> Column:
     return F.struct(*(F.col(c) for c in order)) >= bound
 
 
+# --- positions -------------------------------------------------------------------------------
+
+
+def with_position(ordered: DataFrame, output: str) -> DataFrame:
+    """Number the rows of an ordered table from 0 in their order.
+
+    Rows are counted per range of the order, and a row's place in its range is added to the rows of
+    the ranges before it; one number a range comes to the driver.
+    """
+    placed = durable(
+        ordered.withColumns(
+            {"_slice": F.spark_partition_id(), "_at": F.monotonically_increasing_id()}
+        )
+    )
+    sizes = placed.groupBy("_slice").agg(F.count(F.lit(1)).alias("n"), F.min("_at").alias("at"))
+    offsets, start = [], 0
+    for r in sorted(sizes.collect(), key=lambda r: r["_slice"]):
+        offsets.append((r["_slice"], start - r["at"]))
+        start += r["n"]
+    starts = ordered.sparkSession.createDataFrame(offsets, "_slice int, _start long")
+    numbered = placed.join(F.broadcast(starts), "_slice").withColumn(output, F.col("_at") + F.col("_start"))
+    return numbered.drop("_slice", "_at", "_start")
+
+
 # --- values at ranks -------------------------------------------------------------------------
 
 

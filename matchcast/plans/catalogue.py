@@ -14,6 +14,7 @@ from matchcast.functions import encode, odds
 from matchcast.functions.derive import derive_features, fatigue_index, log_skewed
 from matchcast.operators import backtest, compare, metrics
 from matchcast.operators.impute import fit_standardiser, impute_median
+from matchcast.operators.order import with_position
 from matchcast.operators.splits import (
     expanding_folds,
     random_split,
@@ -167,7 +168,7 @@ def parse_dates(spark, sf_dir):
 def scan_sorted(spark, sf_dir):
     keys = ["game_date", "home_team", "game_id"]
     games = readers.scan_games(load_games(spark, sf_dir), keys)
-    return games.select("game_id", *rounded("home_team_avg_pts_scored"))
+    return with_position(games.select("game_id", *rounded("home_team_avg_pts_scored")), "position")
 
 
 @registered
@@ -217,8 +218,10 @@ def freshness_gate(spark, sf_dir):
 
 @registered
 def freshness_mark(spark, sf_dir):
-    games = load_games(spark, sf_dir)
-    return readers.mark_stale(games, dt.date(1990, 1, 1)).select("game_id", "stale")
+    games, day = load_games(spark, sf_dir), _first_date(spark, sf_dir)
+    same = readers.mark_stale(games, day).select("game_id", F.lit("same day").alias("as_of"), "stale")
+    later = readers.mark_stale(games, day + dt.timedelta(days=1))
+    return same.unionByName(later.select("game_id", F.lit("next day").alias("as_of"), "stale"))
 
 
 @registered
@@ -374,9 +377,8 @@ def evaluate_scores(spark, sf_dir):
 
 @registered
 def kelly_backtest(spark, sf_dir):
-    games = load_games(spark, sf_dir)
-    scores = linear_scores(prepare_train_test(games))
-    table = backtest.kelly_backtest(backtest.with_odds(scores, games))
+    scores = linear_scores(prepare_train_test(backtest.keep_odds(load_games(spark, sf_dir))), backtest.RAW_ODDS)
+    table = backtest.kelly_backtest(backtest.raw_odds(scores))
     return table.select(
         *metrics.BY, "bets_placed",
         *rounded("final_bankroll", "total_profit", "roi", "win_rate", digits=4),

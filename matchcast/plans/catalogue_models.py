@@ -207,7 +207,7 @@ def bag(spark, sf_dir):
     fitted = ensembles.fit_bagging(
         prepared.train, prepared.features, LABEL, "naive_bayes", n_estimators=10
     )
-    return fitted.score(prepared.test).select("game_id", LABEL, "p")
+    return fitted.score(prepared.test).select("game_id", LABEL, *rounded("p", digits=4))
 
 
 @registered

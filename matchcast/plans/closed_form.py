@@ -23,8 +23,13 @@ def log_odds(intercept: float, weights: dict[str, float]) -> Column:
     return total
 
 
-def linear_scores(prepared: Prepared, models: dict = LINEAR_MODELS) -> DataFrame:
-    """``run, model, fold, game_id, y, p`` of every fold (run ``cv``) and the test part (``test``)."""
+def linear_scores(
+    prepared: Prepared, carry: list[str] = (), models: dict = LINEAR_MODELS
+) -> DataFrame:
+    """``run, model, fold, game_id, y, p`` of every fold (run ``cv``) and the test part (``test``).
+
+    Columns to ``carry`` stand beside them.
+    """
     scored = F.array(
         *(
             F.struct(F.lit(name).alias("model"), sigmoid(log_odds(*form)).alias("p"))
@@ -39,7 +44,8 @@ def linear_scores(prepared: Prepared, models: dict = LINEAR_MODELS) -> DataFrame
             F.when(in_test, 0).otherwise(F.col("fold")).alias("fold"),
             "game_id",
             F.col(LABEL).alias("y"),
+            *carry,
             F.explode(scored).alias("scored"),
         )
-        .select("run", "scored.model", "fold", "game_id", "y", "scored.p")
+        .select("run", "scored.model", "fold", "game_id", "y", "scored.p", *carry)
     )

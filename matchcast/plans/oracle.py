@@ -121,7 +121,9 @@ ORACLE["parse_dates"] = query([GAMES], "SELECT game_id, game_date FROM games")
 
 ORACLE["scan_sorted"] = query(
     [GAMES],
-    """SELECT game_id, round(home_team_avg_pts_scored, 6) AS home_team_avg_pts_scored FROM games""",
+    """SELECT game_id, round(home_team_avg_pts_scored, 6) AS home_team_avg_pts_scored,
+              row_number() OVER (ORDER BY home_team_avg_pts_scored NULLS LAST, game_date, home_team, game_id) - 1
+                AS position FROM games""",
 )
 ORACLE["csv_round_trip"] = query(
     [GAMES], "SELECT game_id, game_date, home_team, home_moneyline, outcome FROM games"
@@ -140,8 +142,8 @@ ORACLE["freshness_gate"] = query(
 )
 ORACLE["freshness_mark"] = query(
     [GAMES],
-    """SELECT game_id, (SELECT game_date FROM games ORDER BY home_team_avg_pts_scored NULLS LAST, game_date,
-                               home_team LIMIT 1) <> DATE '1990-01-01' AS stale FROM games""",
+    """SELECT game_id, as_of, as_of = 'next day' AS stale
+       FROM games, (SELECT unnest(['same day', 'next day']) AS as_of)""",
 )
 ORACLE["empty_gate"] = query(
     [GAMES], "SELECT count(*) AS rows, FALSE AS wrote FROM games WHERE outcome IS NULL"
@@ -513,29 +515,74 @@ ORACLE["hard_vote"] = query(
 
 # --- naive Bayes in closed form --------------------------------------------------------------
 
-ORACLE["nb_scores"] = query(
-    [
-        *TO_PREPARED,
-        STACKED,
-        """spread AS (SELECT max(v) * 1e-9 AS epsilon FROM (SELECT var_pop(x) AS v FROM stacked GROUP BY feature)),
+
+def bayes(
+    asked: str,
+    weights: str = "SELECT game_id, 0 AS i, 1 AS weight FROM laid_out",
+    features: list[str] = MODEL_FEATURES,
+    source: str = "prepared",
+) -> list[str]:
+    """The model's probabilities ``p(i, game_id, label, p)`` for the games asked for.
+
+    ``weights`` gives each training game a weight in every sample ``i``.
+    """
+    cells = "unnest([" + ", ".join(f"{{'feature': '{c}', 'x': {c}}}" for c in features) + "], recursive := true)"
+    return [
+        f"stacked AS (SELECT game_id, label, {cells} FROM {source} WHERE NOT is_test)",
+        f"weighed AS (SELECT s.*, w.i, w.weight::DOUBLE AS w FROM stacked s JOIN ({weights}) w ON w.game_id = s.game_id)",
+        """centres AS (SELECT i, feature, label, sum(w * x) / sum(w) AS mean, sum(w) AS total
+                       FROM weighed GROUP BY i, feature, label),
+           middles AS (SELECT i, feature, sum(w * x) / sum(w) AS mean FROM weighed GROUP BY i, feature),
+           spread AS (SELECT i, max(v) * 1e-9 AS epsilon FROM (
+             SELECT s.i, sum(s.w * (s.x - m.mean) * (s.x - m.mean)) / sum(s.w) AS v
+             FROM weighed s JOIN middles m ON m.i = s.i AND m.feature = s.feature GROUP BY s.i, s.feature) GROUP BY i),
            fitted AS (
-             SELECT s.feature, s.label AS class, avg(s.x) AS mean, var_pop(s.x) + max(e.epsilon) AS var
-             FROM stacked s, spread e GROUP BY s.feature, s.label
-           ),
-           priors AS (SELECT label AS class, ln(count(*) * 1e0 / sum(count(*)) OVER ()) AS prior
-                      FROM prepared WHERE NOT is_test GROUP BY label)""",
-        "asked AS (SELECT game_id, label, unnest(["
-        + ", ".join(f"{{'feature': '{c}', 'x': {c}}}" for c in MODEL_FEATURES)
-        + "], recursive := true) FROM prepared WHERE is_test)",
+             SELECT s.i, s.feature, s.label AS class, any_value(c.mean) AS mean, any_value(c.total) AS total,
+                    sum(s.w * (s.x - c.mean) * (s.x - c.mean)) / any_value(c.total) + any_value(e.epsilon) AS var
+             FROM weighed s JOIN centres c ON c.i = s.i AND c.feature = s.feature AND c.label = s.label
+             JOIN spread e ON e.i = s.i GROUP BY s.i, s.feature, s.label),
+           priors AS (SELECT i, class, ln(total / sum(total) OVER (PARTITION BY i, feature)) AS prior, feature FROM fitted)""",
+        f"asked AS (SELECT game_id, label, {cells} FROM ({asked}))",
         """likelihood AS (
-             SELECT a.game_id, a.label, f.class,
+             SELECT f.i, a.game_id, a.label, f.class,
                     max(p.prior) - 0.5e0 * sum(ln(2e0 * pi() * f.var) + (a.x - f.mean) * (a.x - f.mean) / f.var) AS l
-             FROM asked a JOIN fitted f ON f.feature = a.feature JOIN priors p ON p.class = f.class
-             GROUP BY a.game_id, a.label, f.class
-           )""",
+             FROM asked a JOIN fitted f ON f.feature = a.feature
+             JOIN priors p ON p.class = f.class AND p.i = f.i AND p.feature = f.feature
+             GROUP BY f.i, a.game_id, a.label, f.class),
+           p AS (SELECT i, game_id, label, 1e0 / (1e0 + exp(sum(CASE WHEN class = 0 THEN l ELSE -l END))) AS p
+                 FROM likelihood GROUP BY i, game_id, label)""",
+    ]
+
+
+TEST_GAMES = "SELECT * FROM prepared WHERE is_test"
+ORACLE["nb_scores"] = query(
+    [*TO_PREPARED, *bayes(TEST_GAMES)], "SELECT game_id, label, round(p, 4) AS p FROM p"
+)
+_V1 = [
+    f"{side}_{name}"
+    for side in ("home", "away")
+    for name in (
+        "team_rank", "days_rest", "team_avg_pts_scored", "team_avg_pts_scored_opp", "team_win_pct",
+        "team_win_pct_last10",
+    )
+]
+ORACLE["score_v1"] = query(
+    [
+        GAMES,
+        DERIVED,
+        LAYOUT,
+        "filled AS (SELECT game_id, label, is_test, "
+        + ", ".join(f"coalesce({c}, 0e0) AS {c}" for c in _V1)
+        + " FROM laid_out)",
+        *bayes("SELECT * FROM filled", features=_V1, source="filled"),
     ],
-    """SELECT game_id, label, round(1e0 / (1e0 + exp(sum(CASE WHEN class = 0 THEN l ELSE -l END))), 4) AS p
-       FROM likelihood GROUP BY game_id, label""",
+    """SELECT game_id, round_even(p, 3) AS home_team_predicted_win_pct,
+              round_even(1e0 - p, 3) AS away_team_predicted_win_pct FROM p""",
+)
+ORACLE["score_v2"] = query(
+    [*TO_PREPARED, *bayes("SELECT * FROM prepared")],
+    """SELECT game_id, round_even(p, 3) AS home_team_predicted_win_pct,
+              round_even(1e0 - p, 3) AS away_team_predicted_win_pct, FALSE AS stale FROM p""",
 )
 
 # --- sampling --------------------------------------------------------------------------------
@@ -551,7 +598,6 @@ _LIMITS = [
 def _draws(iterations: int) -> list[str]:
     count = " ".join(f"WHEN u <= {limit} THEN {k}" for k, limit in enumerate(_LIMITS))
     return [
-        GAMES,
         f"""uniforms AS (
               SELECT game_id, home_team_win_pct, CAST(i AS INTEGER) AS iteration,
                      {UNIFORM} AS u
@@ -562,14 +608,25 @@ def _draws(iterations: int) -> list[str]:
 
 
 ORACLE["bootstrap"] = query(
-    _draws(3), "SELECT game_id, iteration, weight FROM draws WHERE weight > 0"
+    [GAMES, *_draws(3)], "SELECT game_id, iteration, weight FROM draws WHERE weight > 0"
 )
 ORACLE["bootstrap_sizes"] = query(
-    _draws(10),
+    [GAMES, *_draws(10)],
     """SELECT iteration, CAST(sum(weight) AS BIGINT) AS n,
               round(sum(weight * home_team_win_pct) / sum(weight), 6) AS mean_win_pct
        FROM draws GROUP BY iteration""",
 )
+_BAGGED = [
+    *TO_PREPARED,
+    *_draws(10),
+    *bayes(TEST_GAMES, "SELECT game_id, iteration AS i, weight FROM draws WHERE weight > 0"),
+]
+ORACLE["bag"] = query(_BAGGED, "SELECT game_id, label, round(avg(p), 4) AS p FROM p GROUP BY game_id, label")
+ORACLE["bootstrap_majority"] = query(
+    _BAGGED,
+    """SELECT game_id, label, CAST(avg(CASE WHEN p > 0.5e0 THEN 1e0 ELSE 0e0 END) > 0.5e0 AS INTEGER) AS prediction
+       FROM p GROUP BY game_id, label""",
+)
 ORACLE["win_probability"] = query(
     [GAMES],
     """SELECT game_id, round(1e0 / (1e0 + exp(-(

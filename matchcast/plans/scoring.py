@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 
 from matchcast.functions.encode import clean_numeric
 from matchcast.functions.odds import probability_pair, round_even
+from matchcast.operators.ensembles import load_model
 from matchcast.operators.impute import apply_features
-from matchcast.operators.learners import Artifacts, Classifier, load_classifier
+from matchcast.operators.learners import Artifacts, Classifier
 from matchcast.schema import (
     AWAY_PROBABILITY,
     HOME_PROBABILITY,
@@ -111,7 +112,7 @@ def nightly(
         return "disabled"
     if games.isEmpty():
         return "no games"
-    artifacts = load_classifier(spark, model_path)
+    artifacts = load_model(spark, model_path)
     if version == 1:
         scored = score_v1(clean_numeric(games, artifacts.classifier.features), artifacts.classifier, as_of)
     else:
