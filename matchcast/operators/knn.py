@@ -1,31 +1,36 @@
 """Exact k nearest neighbours as a pruned block join.
 
-Training rows are grouped into shells: by nearest pivot, then by distance to it. The shells' counts
-and distance ranges bound how far a query's k-th neighbour can be, and the triangle inequality
-rules out shells beyond that. A query meets the remaining shells block by block; a block hands back
-only its k best rows, so neither all pairs nor a large group ever exist.
+Training rows are grouped into shells: by nearest pivot, then by distance to it. A query first meets
+the shells around it that hold k rows, which bounds how far its k-th neighbour can be; then only
+those other shells that the triangle inequality does not put beyond that bound. It meets them block
+by block, and a block hands back only its k best rows, so neither all pairs nor a large group ever
+exist. Pivots grow with the square root of the training rows, so cells stay small.
 """
 
 from __future__ import annotations
 
+import math
 import sys
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, Row, Window
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.sql import DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from matchcast.durable import durable
 from matchcast.functions.hashing import key_residue, mix
 from matchcast.operators.impute import fit_standardiser
 
 # Tasks get this module's helpers by value, so that executors need no copy of the package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-PIVOTS = 16
-RINGS = 8
+LEAST_PIVOTS = 16
+RINGS = 4
 BLOCK_ROWS = 20_000
 METRICS = {"euclidean": 2, "manhattan": 1}
 
@@ -42,6 +47,19 @@ def _distances(a: np.ndarray, b: np.ndarray, power: int) -> np.ndarray:
     return out
 
 
+def _smallest(d: np.ndarray, k: int) -> np.ndarray:
+    """Columns of each row's k smallest values in order; of equal ones the first."""
+    if d.shape[1] <= k:
+        return np.argsort(d, axis=1, kind="stable")
+    # All that are no larger than the k-th value, in column order; ties beyond k then fall away.
+    kth = np.partition(d, k - 1, axis=1)[:, k - 1 : k]
+    kept = np.where(d < kth, d, np.where(d == kth, kth, np.inf))
+    width = int((d <= kth).sum(axis=1).max())
+    columns = np.sort(np.argpartition(kept, width - 1, axis=1)[:, :width], axis=1)
+    order = np.argsort(np.take_along_axis(d, columns, axis=1), axis=1, kind="stable")[:, :k]
+    return np.take_along_axis(columns, order, axis=1)
+
+
 def _matrix(vectors: pd.Series, width: int) -> np.ndarray:
     return np.array(vectors.tolist(), dtype=float).reshape(len(vectors), width)
 
@@ -55,7 +73,7 @@ def nearest(
     label: str = "label",
     metric: str = "euclidean",
     leave_self_out: bool = False,
-    pivots: int = PIVOTS,
+    pivots: int | None = None,
     rings: int = RINGS,
     block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
@@ -70,6 +88,7 @@ def nearest(
     )
     asked = queries.select(F.col(key).alias("query"), F.col(vector).cast("array<double>").alias("q"))
     kind = train.schema[key].dataType
+    pivots = pivots or max(LEAST_PIVOTS, math.isqrt(points.count()))
     spots = points.orderBy(mix(key_residue(F.col("neighbour"), kind), 1), "neighbour").limit(pivots)
     centres = np.array([r["v"] for r in spots.select("v").collect()], dtype=float)
     if len(centres) == 0:
@@ -101,22 +120,15 @@ def nearest(
         .orderBy("shell")
         .collect()
     )
-    n_queries = asked.count()
-    chunks = max(1, -(-n_queries // block_rows))
     blocks = {s["shell"]: -(-s["n"] // block_rows) for s in shells}
-
     blocks_of = F.element_at(
         F.create_map(*(F.lit(x) for pair in blocks.items() for x in pair)), F.col("shell")
     )
-    left = (
-        shelled.withColumn("block", F.pmod(F.xxhash64("neighbour"), blocks_of).cast("int"))
-        .withColumn("chunk", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))))
-        .select("shell", "block", "chunk", "neighbour", "label", "v")
+    left = shelled.withColumn("block", F.pmod(F.xxhash64("neighbour"), blocks_of).cast("int")).select(
+        "shell", "block", "neighbour", "label", "v"
     )
     needed = k + 1 if leave_self_out else k
-    visits = asked.mapInPandas(
-        _visits(centres, shells, rings, blocks, needed, power), _visit_schema(asked)
-    ).withColumn("chunk", F.pmod(F.xxhash64("query"), F.lit(chunks)).cast("int"))
+    layout = _Layout(centres, shells, rings, blocks, needed, power)
 
     def best_of_block(q: pd.DataFrame, t: pd.DataFrame) -> pd.DataFrame:
         t = t.sort_values("neighbour", kind="stable")
@@ -132,7 +144,7 @@ def nearest(
                 if leave_self_out:
                     d[own[:, None] == ids[None, :]] = np.inf
                 # Rows are in key order, so a stable sort settles ties by key.
-                best = np.argsort(d, axis=1, kind="stable")[:, :k]
+                best = _smallest(d, k)
                 near = np.take_along_axis(d, best, axis=1)
                 parts.append(
                     pd.DataFrame(
@@ -157,9 +169,31 @@ def nearest(
             T.StructField("distance", T.DoubleType()),
         ]
     )
-    grid = ["shell", "block", "chunk"]
-    met = visits.groupBy(*grid).cogroup(left.groupBy(*grid)).applyInPandas(best_of_block, schema)
-    return _ranked(met, k, key)
+    def meet(visits: DataFrame) -> DataFrame:
+        """The best of each block for each query that visits it.
+
+        Blocks with many visitors are met in several tasks; the rows of other blocks are not copied.
+        """
+        visits = durable(visits)
+        crowds = visits.groupBy("shell", "block").agg(F.count(F.lit(1)).alias("n"))
+        parts = crowds.select("shell", "block", F.ceil(F.col("n") / block_rows).cast("int").alias("parts"))
+        parts = F.broadcast(durable(parts))
+        asking = visits.join(parts, ["shell", "block"]).withColumn(
+            "part", F.pmod(F.xxhash64("query"), F.col("parts")).cast("int")
+        )
+        rows = left.join(parts, ["shell", "block"]).withColumn(
+            "part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
+        )
+        grid = ["shell", "block", "part"]
+        return asking.drop("parts").groupBy(*grid).cogroup(rows.drop("parts").groupBy(*grid)).applyInPandas(best_of_block, schema)
+
+    asked = asked.withColumn("bound", F.lit(None).cast("double"))
+    first = durable(meet(asked.mapInPandas(layout.around, _visit_schema(asked))))
+    best = Window.partitionBy("query").orderBy("distance", "neighbour")
+    kth = first.withColumn("place", F.row_number().over(best)).where(F.col("place") == k)
+    bounded = asked.drop("bound").join(kth.select("query", F.col("distance").alias("bound")), "query", "left")
+    second = meet(bounded.mapInPandas(layout.within, _visit_schema(asked)))
+    return _ranked(first.unionByName(second), k, key)
 
 
 def _visit_schema(asked: DataFrame) -> T.StructType:
@@ -173,43 +207,61 @@ def _visit_schema(asked: DataFrame) -> T.StructType:
     )
 
 
-def _visits(
-    centres: np.ndarray, shells: list[Row], rings: int, blocks: dict[int, int], k: int, power: int
-):
-    """Which blocks each query has to meet."""
-    names = np.array([s["shell"] for s in shells])
-    cells, counts = names // rings, np.array([s["n"] for s in shells])
-    inner = np.array([s["inner"] for s in shells])
-    outer = np.array([s["outer"] for s in shells])
+class _Layout:
+    """Where the shells lie, and which blocks a query has to meet."""
+
+    def __init__(self, centres, shells: list[Row], rings: int, blocks: dict[int, int], k: int, power: int):
+        self.centres, self.power, self.k = centres, power, k
+        self.names = np.array([s["shell"] for s in shells])
+        self.cells, self.counts = self.names // rings, np.array([s["n"] for s in shells])
+        self.inner = np.array([s["inner"] for s in shells])
+        self.outer = np.array([s["outer"] for s in shells])
+        self.times = np.array([blocks[s] for s in self.names])
+
+    def _shells(self, batch: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
+        """How near each shell's rows can be, and whether a query meets the shell first."""
+        away = _distances(_matrix(batch["q"], self.centres.shape[1]), self.centres, self.power)[:, self.cells]
+        nearest_possible = np.maximum(np.maximum(away - self.outer, self.inner - away), 0.0)
+        order = np.argsort(nearest_possible, axis=1, kind="stable")
+        covered = np.cumsum(self.counts[order], axis=1) >= self.k
+        enough = np.where(covered.any(axis=1), covered.argmax(axis=1), len(self.names) - 1)
+        place = np.empty_like(order)
+        np.put_along_axis(place, order, np.arange(len(self.names))[None, :], axis=1)
+        return nearest_possible, place <= enough[:, None]
+
+    def _emit(self, batch: pd.DataFrame, wanted: np.ndarray) -> pd.DataFrame:
+        rows, cols = np.nonzero(wanted)
+        times = self.times[cols]
+        rows, cols = np.repeat(rows, times), np.repeat(cols, times)
+        first = np.concatenate([[0], np.cumsum(times)[:-1]]) if len(times) else times
+        picked = batch.iloc[rows]
+        return pd.DataFrame(
+            {
+                "query": picked["query"].to_numpy(),
+                "q": picked["q"].to_numpy(),
+                "shell": self.names[cols].astype("int32"),
+                "block": (np.arange(len(rows)) - np.repeat(first, times)).astype("int32"),
+            }
+        )
 
-    def visit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def _slices(self, batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """A few queries at a time, as each is held against every shell."""
+        step = max(1, 4_000_000 // max(1, len(self.names)))
         for batch in batches:
-            if not len(batch):
-                continue
-            away = _distances(_matrix(batch["q"], centres.shape[1]), centres, power)[:, cells]
-            farthest = away + outer
-            order = np.argsort(farthest, axis=1)
-            covered = np.cumsum(counts[order], axis=1) >= k
-            enough = np.where(covered.any(axis=1), covered.argmax(axis=1), len(names) - 1)
-            limit = np.take_along_axis(farthest, order, axis=1)[np.arange(len(batch)), enough]
-            nearest_possible = np.maximum(np.maximum(away - outer, inner - away), 0.0)
+            for i in range(0, len(batch), step):
+                yield batch.iloc[i : i + step]
+
+    def around(self, batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in self._slices(batches):
+            yield self._emit(batch, self._shells(batch)[1])
+
+    def within(self, batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in self._slices(batches):
+            near, seen = self._shells(batch)
+            bound = batch["bound"].to_numpy(dtype=float)
+            bound = np.where(np.isnan(bound), np.inf, bound)
             # A little slack, so that rounding never rules out a true neighbour.
-            rows, cols = np.nonzero(nearest_possible <= limit[:, None] * (1 + 1e-9) + 1e-12)
-            times = np.array([blocks[s] for s in names])[cols]
-            rows, cols = np.repeat(rows, times), np.repeat(cols, times)
-            first = np.concatenate([[0], np.cumsum(times)[:-1]]) if len(times) else times
-            block = np.arange(len(rows)) - np.repeat(first, times)
-            picked = batch.iloc[rows]
-            yield pd.DataFrame(
-                {
-                    "query": picked["query"].to_numpy(),
-                    "q": picked["q"].to_numpy(),
-                    "shell": names[cols].astype("int32"),
-                    "block": block.astype("int32"),
-                }
-            )
-
-    return visit
+            yield self._emit(batch, ~seen & (near <= bound[:, None] * (1 + 1e-9) + 1e-12))
 
 
 def _ranked(met: DataFrame, k: int, key: str) -> DataFrame:
@@ -265,3 +317,50 @@ def knn_scores(
     voted = vote(near, key, weights)
     p = F.when(F.col("prediction") == 1, F.col("share")).otherwise(1.0 - F.col("share"))
     return test.join(voted.select(key, p.alias("p")), key)
+
+
+def _metric(params: dict) -> str:
+    """Minkowski distances of power 1 and 2 have names of their own."""
+    if params["metric"] != "minkowski":
+        return params["metric"]
+    return {1: "manhattan", 2: "euclidean"}[params["p"]]
+
+
+@dataclass
+class NeighbourModel:
+    """The training rows as a model: ``transform`` adds the votes of the k nearest to each vector."""
+
+    train: DataFrame
+    k: int
+    weights: str
+    metric: str
+
+    @classmethod
+    def fit(cls, vectors: DataFrame, features: str, label: str, params: dict) -> NeighbourModel:
+        """Keep the rows' vectors and labels, written once, so that they outlast the frame they come from."""
+        rows = vectors.select(
+            F.monotonically_increasing_id().alias("_query"),
+            vector_to_array(F.col(features)).alias("vector"),
+            F.col(label).cast("int").alias("label"),
+        )
+        return cls(durable(rows), params["n_neighbors"], params["weights"], _metric(params))
+
+    def transform(self, df: DataFrame, features: str, probability: str, predicted: str) -> DataFrame:
+        rows = durable(df.withColumn("_query", F.monotonically_increasing_id()))
+        asked = rows.select("_query", vector_to_array(F.col(features)).alias("vector"))
+        near = nearest(asked, self.train, self.k, "vector", "_query", "label", self.metric)
+        voted = vote(near, "_query", self.weights)
+        p = F.when(F.col("prediction") == 1, F.col("share")).otherwise(1.0 - F.col("share"))
+        found = voted.select(
+            "_query",
+            array_to_vector(F.array(1.0 - p, p)).alias(probability),
+            F.col("prediction").cast("double").alias(predicted),
+        )
+        return rows.join(found, "_query").drop("_query")
+
+    def save(self, path: str) -> None:
+        self.train.write.mode("overwrite").parquet(path)
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str, params: dict) -> NeighbourModel:
+        return cls(spark.read.parquet(path), params["n_neighbors"], params["weights"], _metric(params))

@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from matchcast.operators.impute import FeatureState, Standardiser, fit_standardiser
+from matchcast.operators.knn import NeighbourModel
 
 PARALLEL_FITS = 4
 FEATURES, RAW, PROBABILITY, CLASS = "_features", "_raw", "_probability", "_class"
@@ -84,6 +85,17 @@ LEARNERS: dict[str, Learner] = {
         weights=False,
     ),
     "naive_bayes": Learner({}),
+    "knn": Learner(
+        {"n_neighbors": 5, "weights": "uniform", "metric": "euclidean", "p": 2},
+        {
+            "n_neighbors": [3, 5, 7, 9, 11, 15],
+            "weights": ["uniform", "distance"],
+            "metric": ["euclidean", "manhattan", "minkowski"],
+            "p": [1, 2],
+        },
+        scaled=True,
+        weights=False,
+    ),
     "linear_svm": Learner(
         {"C": 1.0, "max_iter": 1000},
         {"C": [0.1, 1.0, 10.0, 100.0]},
@@ -107,14 +119,19 @@ def _depth(value: int | None) -> int:
     return DEEPEST if value is None else value
 
 
-def build(
-    name: str, params: dict[str, Any], rows: int, width: int, label: str, weight: str | None, seed: int
-) -> Estimator:
-    """The Spark ML estimator for a model and its parameters."""
+def full_params(name: str, params: dict[str, Any]) -> dict[str, Any]:
     p = {**learner(name).defaults, **params}
     unknown = set(p) - set(learner(name).defaults)
     if unknown:
         raise ValueError(f"{name} has no parameters {sorted(unknown)}")
+    return p
+
+
+def build(
+    name: str, params: dict[str, Any], rows: int, width: int, label: str, weight: str | None, seed: int
+) -> Estimator:
+    """The Spark ML estimator for a model and its parameters."""
+    p = full_params(name, params)
     columns = {"featuresCol": FEATURES, "labelCol": label, "predictionCol": CLASS}
     with_probability = columns | {"probabilityCol": PROBABILITY, "rawPredictionCol": RAW}
     if weight is not None:
@@ -175,7 +192,7 @@ class Classifier:
 
     name: str
     features: list[str]
-    model: Model
+    model: Model | NeighbourModel
     scaler: Standardiser | None = None
     params: dict[str, Any] = field(default_factory=dict)
 
@@ -186,8 +203,12 @@ class Classifier:
 
     def _transform(self, df: DataFrame, vector: str | None) -> DataFrame:
         if vector is None:
-            return self.model.transform(_assemble(df, self.features, self.scaler))
-        return self.model.transform(df.withColumn(FEATURES, F.col(vector)))
+            wide = _assemble(df, self.features, self.scaler)
+        else:
+            wide = df.withColumn(FEATURES, F.col(vector))
+        if isinstance(self.model, NeighbourModel):
+            return self.model.transform(wide, FEATURES, PROBABILITY, CLASS)
+        return self.model.transform(wide)
 
     def score(self, df: DataFrame, output: str = "p", vector: str | None = None) -> DataFrame:
         """Add the probability of class 1, or the class itself if the model has no probabilities.
@@ -246,6 +267,12 @@ def fit_classifier(
     )
     scaled = learner(name).scaled if scale is None else scale
     scaler = fit_standardiser(narrow, features, weight) if scaled else None
+    if name == "knn":
+        if weight is not None:
+            raise ValueError("knn cannot weight rows")
+        vectors = _assemble(narrow, features, scaler).select(FEATURES, label)
+        model = NeighbourModel.fit(vectors, FEATURES, label, full_params(name, params))
+        return Classifier(name, list(features), model, scaler, params)
     drawn = F.count(F.lit(1)) if weight is None else F.sum(weight)
     size = narrow.agg(F.count(F.lit(1)).alias("rows"), drawn.alias("drawn")).first()
     estimator = build(name, params, int(size["drawn"] or 0), len(features), label, weight, seed)
@@ -300,7 +327,10 @@ def save_classifier(
     metrics: dict[str, float] | None = None,
 ) -> None:
     """Write the model, its columns, medians and scaling, metrics and parameters below ``path``."""
-    PipelineModel(stages=[classifier.model]).write().overwrite().save(f"{path}/model")
+    if isinstance(classifier.model, NeighbourModel):
+        classifier.model.save(f"{path}/model")
+    else:
+        PipelineModel(stages=[classifier.model]).write().overwrite().save(f"{path}/model")
     scaler = classifier.scaler
     rows = []
     names = list(dict.fromkeys([*(state.columns if state else []), *classifier.features]))
@@ -357,7 +387,11 @@ def load_classifier(spark: SparkSession, path: str) -> Artifacts:
     """Read what ``save_classifier`` wrote; a missing path raises ``FileNotFoundError``."""
     summary = read_summary(spark, path)
     rows = spark.read.parquet(f"{path}/columns").collect()
-    model = PipelineModel.load(f"{path}/model").stages[0]
+    params = json.loads(summary["params"])
+    if summary["name"] == "knn":
+        model = NeighbourModel.load(spark, f"{path}/model", full_params("knn", params))
+    else:
+        model = PipelineModel.load(f"{path}/model").stages[0]
     features = [r["column"] for r in sorted((r for r in rows if r["feature"] is not None), key=lambda r: r["feature"])]
     by_name = {r["column"]: r for r in rows}
     scaler = None
@@ -374,5 +408,5 @@ def load_classifier(spark: SparkSession, path: str) -> Artifacts:
             {r["column"]: r["median"] for r in known},
             [r["column"] for r in known if r["empty"]],
         )
-    classifier = Classifier(summary["name"], features, model, scaler, json.loads(summary["params"]))
+    classifier = Classifier(summary["name"], features, model, scaler, params)
     return Artifacts(classifier, state, dict(summary["metrics"]))

@@ -253,6 +253,7 @@ def test_every_kind_of_model_is_stored(spark, prepared, tmp_path):
     bayes = ("naive_bayes", {})
     kinds = {
         "classifier": learners.fit_classifier(train, FEW, LABEL, "logistic_regression"),
+        "knn": learners.fit_classifier(train, FEW, LABEL, "knn", {"n_neighbors": 3}),
         "voting": ensembles.fit_voting(train, FEW, [bayes, ("logistic_regression", {})], LABEL, [2.0, 1.0]),
         "stacking": ensembles.fit_stacking(train, FEW, [bayes], LABEL, folds=2),
         "calibrated": ensembles.fit_calibrated(train, FEW, LABEL, "naive_bayes"),
@@ -270,10 +271,12 @@ def test_every_kind_of_model_is_stored(spark, prepared, tmp_path):
 
 
 def test_search_stands_a_fold_of_one_class(spark):
-    rows = [(i, float(i % 7), int(i % 2 if fold < 2 else 1), fold) for fold in range(3) for i in range(fold * 30, fold * 30 + 30)]
+    rows = [(i, float(i % 7), int(i % 2 if fold < 1 else 1), fold) for fold in (-1, 0, 1) for i in range(fold * 30 + 30, fold * 30 + 60)]
     train = spark.createDataFrame(rows, "game_id long, x double, label int, fold int")
-    single = train.where("fold = 2").withColumn("fold", F.lit(1)).unionByName(train.where("fold = 0"))
-    found = tuning.search(single, ["x"], name="logistic_regression", candidates=[{}, {"C": 0.1}], folds=2)
+    found = tuning.search(train, ["x"], name="logistic_regression", candidates=[{}, {"C": 0.1}], folds=2)
+    assert all(0 <= r["cv_auc"] <= 1 for r in found.candidates.collect())
+    single = train.where("fold = -1").unionByName(train.where("fold = 1").withColumn("fold", F.lit(0)))
+    found = tuning.search(single, ["x"], name="logistic_regression", candidates=[{}, {"C": 0.1}], folds=1)
     assert [r["cv_auc"] for r in found.candidates.collect()] == [None, None]
 
 
@@ -308,3 +311,36 @@ def test_training_several_models_keeps_the_best_on_test_rows(prepared):
     calibrated = experiment.train_model(prepared, "naive_bayes", calibrate=True)
     plain = experiment.train_model(prepared, "naive_bayes")
     assert calibrated.cv_metrics["cv_brier"] != plain.cv_metrics["cv_brier"]
+
+
+def test_neighbours_are_a_learner(prepared):
+    fitted = learners.fit_classifier(prepared.train, FEW, LABEL, "knn", {"metric": "minkowski", "p": 1})
+    got = {r["game_id"]: round(r["p"], 9) for r in fitted.score(prepared.test).select("game_id", "p").collect()}
+    direct = knn.knn_scores(prepared.train, prepared.test, FEW, LABEL, metric="manhattan")
+    assert set(got) == {r["game_id"] for r in direct.collect()} and all(0 <= p <= 1 for p in got.values())
+    assert set(round(p * 5, 6) for p in got.values()) <= {0.0, 1.0, 2.0, 3.0, 4.0, 5.0}
+
+
+def test_fewer_blocks_are_met_per_row_as_clusters_fill(spark):
+    rng = np.random.default_rng(3)
+
+    def share(n):
+        centres = rng.normal(size=(12, 2)) * 100
+        points = centres[rng.integers(0, 12, n)] + rng.normal(size=(n, 2))
+        shells = [
+            {"shell": i, "n": int(c), "inner": 0.0, "outer": float(np.linalg.norm(points[cell == i] - spots[i], axis=1).max())}
+            for spots, cell in [(points[: math.isqrt(n)], knn._distances(points, points[: math.isqrt(n)], 2).argmin(axis=1))]
+            for i, c in enumerate(np.bincount(cell, minlength=math.isqrt(n))) if c
+        ]
+        names = [s["shell"] for s in shells]
+        layout = knn._Layout(points[: math.isqrt(n)], shells, 1, dict.fromkeys(names, 1), 5, 2)
+        import pandas as pd
+
+        bound = np.sort(knn._distances(points[:200], points, 2), axis=1)[:, 5]
+        asked = pd.DataFrame({"query": range(200), "q": points[:200].tolist(), "bound": bound})
+        met = pd.concat([*layout.around([asked]), *layout.within([asked])])
+        counts = {s["shell"]: s["n"] for s in shells}
+        return sum(counts[s] for s in met["shell"]) / (200 * n)
+
+    small, large = share(400), share(6400)
+    assert large < 0.9 * small
