@@ -79,11 +79,20 @@ def join_groups(
 
 def drop_rows(docs: DataFrame, gone: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` without the rows that ``gone(id, h)`` names, all columns as they were."""
+    return _by_row(docs, gone, id_col, text_col, "left_anti")
+
+
+def keep_rows(docs: DataFrame, kept: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that ``kept(id, h)`` names, all columns as they were."""
+    return _by_row(docs, kept, id_col, text_col, "left_semi")
+
+
+def _by_row(docs: DataFrame, named: DataFrame, id_col: str, text_col: str, how: str) -> DataFrame:
     key = [F.col(id_col).alias("_id"), text_hash(text_col).alias("_h")]
-    listed = gone.select(F.col("id").alias("_id2"), F.col("h").alias("_h2"))
+    listed = named.select(F.col("id").alias("_id2"), F.col("h").alias("_h2"))
     keyed = docs.select("*", *key)
     same = F.col("_id").eqNullSafe(F.col("_id2")) & (F.col("_h") == F.col("_h2"))
-    return keyed.join(listed, same, "left_anti").select(*(F.col(f"`{c}`") for c in docs.columns))
+    return keyed.join(listed, same, how).select(*(F.col(f"`{c}`") for c in docs.columns))
 
 
 def byte_texts(column: pa.Array) -> list[bytes]:

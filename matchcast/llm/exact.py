@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from matchcast.llm.common import byte_texts, drop_rows, join_groups, settle, text_hash
+from matchcast.llm.common import byte_texts, drop_rows, join_groups, keep_rows, settle, text_hash
 
 WINDOW = 16  # bytes that decide whether a chunk ends after them
 LEAST = 512  # bytes of a chunk, unless its text ends
@@ -102,5 +102,4 @@ def keep_one(docs: DataFrame) -> DataFrame:
     again = settle(gone.filter(F.col("any") & (F.col("n") > 1)).select("id", "h"))
     if again.isEmpty():
         return left
-    once = left.dropDuplicates(["doc_id", "text"])
-    return once
+    return drop_rows(left, again).unionByName(keep_rows(left, again).dropDuplicates(["doc_id", "text"]))
