@@ -14,6 +14,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from matchcast.llm.common import map_arrow
+
 TOKENIZER = "/opt/tokenizers/byte_bpe_50k.json"
 OPEN, CLOSE, HEAD, BODY = "<s>", "</s>", "[INST]", "[/INST]"  # a turn is <s>[INST]role[/INST]text</s>
 CONTROL = (OPEN, CLOSE, HEAD, BODY)
@@ -119,7 +121,7 @@ def format_chats(conversations: DataFrame, tokenizer: str = TOKENIZER) -> DataFr
         if held:
             yield _batch(held, schema)
 
-    return dealt.select("conv_id", "role", "text").mapInArrow(run, SCHEMA)
+    return map_arrow(dealt.select("conv_id", "role", "text"), run, SCHEMA)
 
 
 def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
@@ -158,4 +160,4 @@ def read_back(formatted: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(zip(*out) if out else [[]] * 6, kinds)], names)
 
     schema = "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long"
-    return formatted.select("conv_id", "formatted", "loss_first", "loss_end").mapInArrow(run, schema)
+    return map_arrow(formatted.select("conv_id", "formatted", "loss_first", "loss_end"), run, schema)

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import io
 import uuid
+import zipfile
 from collections.abc import Iterable
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -95,6 +98,34 @@ def _by_row(docs: DataFrame, named: DataFrame, id_col: str, text_col: str, how:
     return keyed.join(listed, same, how).select(*(F.col(f"`{c}`") for c in docs.columns))
 
 
+def _ship(spark: SparkSession) -> None:
+    """Hand this package to the executors, once a session: they need not have it installed.
+
+    A zip of its sources is written to the shared folder, from where Spark brings it to each Python worker.
+    """
+    context = spark.sparkContext
+    if getattr(context, "_matchcast_shipped", False):
+        return
+    package = Path(__file__).resolve().parents[1]
+    held = io.BytesIO()
+    with zipfile.ZipFile(held, "w", zipfile.ZIP_DEFLATED) as archive:
+        for file in sorted(package.rglob("*.py")):
+            archive.write(file, file.relative_to(package.parent).as_posix())
+    where = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_folder(spark)}/matchcast-{uuid.uuid4().hex}.zip")
+    store = where.getFileSystem(spark._jsc.hadoopConfiguration())
+    out = store.create(where)
+    out.write(bytearray(held.getvalue()))
+    out.close()
+    context.addPyFile(store.makeQualified(where).toString())
+    context._matchcast_shipped = True
+
+
+def map_arrow(df: DataFrame, function, schema) -> DataFrame:
+    """``df.mapInArrow``, on executors that have this package."""
+    _ship(df.sparkSession)
+    return df.mapInArrow(function, schema)
+
+
 def byte_texts(column: pa.Array) -> list[bytes]:
     """The texts of a batch in UTF-8; null counts as empty."""
     return [x or b"" for x in column.cast(pa.binary()).to_pylist()]

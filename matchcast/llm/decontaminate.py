@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from matchcast.llm.common import byte_texts, drop_rows, settle, text_hash
+from matchcast.llm.common import byte_texts, drop_rows, map_arrow, settle, text_hash
 
 WINDOW = 8  # canonical words of a window
 LEAST_ITEM = 5  # items with fewer words are not searched for
@@ -206,7 +206,7 @@ def _scan(rows: DataFrame, sizes: list[int], wanted: np.ndarray | None) -> DataF
                     )
 
     fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema if f.name != "t")
-    return rows.mapInArrow(run, f"{fields}, {WINDOW_COLUMNS}")
+    return map_arrow(rows, run, f"{fields}, {WINDOW_COLUMNS}")
 
 
 def _window_filter(grams: DataFrame) -> np.ndarray:
@@ -245,7 +245,7 @@ def contaminated(
     """
     types = f"item {benchmark.schema[item_col].dataType.simpleString()}, t string, words int"
     items = benchmark.select(F.col(item_col).alias("item"), F.col(item_text_col).alias("t"))
-    counted = settle(items.mapInArrow(_count_words, types).filter(F.col("words") >= LEAST_ITEM))
+    counted = settle(map_arrow(items, _count_words, types).filter(F.col("words") >= LEAST_ITEM))
     sizes = sorted(r[0] for r in counted.select(F.least("words", F.lit(WINDOW))).distinct().collect())
     own = settle(_scan(counted, sizes, None).filter(F.col("size") == F.least("words", F.lit(WINDOW))))
     rows = docs.select(F.col(id_col).alias("id"), text_hash(text_col).alias("h"), F.col(text_col).alias("t"))

@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from matchcast.llm.common import byte_texts, drop_rows, join_groups, keep_rows, settle, text_hash
+from matchcast.llm.common import byte_texts, drop_rows, join_groups, keep_rows, map_arrow, settle, text_hash
 
 WINDOW = 16  # bytes that decide whether a chunk ends after them
 LEAST = 512  # bytes of a chunk, unless its text ends
@@ -62,7 +62,7 @@ def recipes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     """
     rows = docs.select(F.col(id_col).alias("id"), text_hash(text_col).alias("h"), F.col(text_col).alias("t"))
     schema = rows.select("id", "h").schema.simpleString()[len("struct<") : -1].replace(":", " ")
-    cut = settle(rows.mapInArrow(_recipes, f"{schema}, sha string, size long, hashes array<string>, digests array<string>"))
+    cut = settle(map_arrow(rows, _recipes, f"{schema}, sha string, size long, hashes array<string>, digests array<string>"))
     chunks = cut.select(F.explode(F.arrays_zip("hashes", "digests")).alias("c")).select("c.hashes", "c.digests")
     several = chunks.groupBy("hashes").agg(F.min("digests").alias("a"), F.max("digests").alias("b")).filter("a != b")
     shared = [r["hashes"] for r in several.select("hashes").toLocalIterator()]

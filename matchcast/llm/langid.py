@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from matchcast.llm.common import byte_texts, out_batch
+from matchcast.llm.common import byte_texts, map_arrow, out_batch
 
 BUCKETS = 1 << 15
 ORDERS = (1, 2, 3)
@@ -105,7 +105,7 @@ def learn(labelled: DataFrame, id_col="doc_id", text_col="text", lang_col="lang"
     share = F.create_map(*[F.lit(x) for lang in languages for x in (lang, min(1.0, sample / sizes[lang]))])
     drawn = F.pmod(F.xxhash64("id", F.lit("sample")), F.lit(1 << 30)) / F.lit(float(1 << 30))
     taken = rows.filter(drawn < share[F.col("lang")]).select("text", "lang")
-    counted = taken.mapInArrow(_count_grams, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
+    counted = map_arrow(taken, _count_grams, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
     counts = np.ones((BUCKETS, len(languages)))
     index = {lang: i for i, lang in enumerate(languages)}
     for r in counted.toLocalIterator():
@@ -169,7 +169,7 @@ def predict(docs: DataFrame, model: LanguageModel, id_cols: list[str], text_col:
                 [*columns, pa.array(names, pa.string()), pa.array(scores, pa.float64())], [*id_cols, "lang_pred", "score"]
             )
 
-    return rows.mapInArrow(score, schema)
+    return map_arrow(rows, score, schema)
 
 
 def identify(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
@@ -191,4 +191,4 @@ def keep_identified(docs: DataFrame, least: float = 0.5) -> DataFrame:
             langs, scores = score_texts(shared.value, byte_texts(batch.column(names.index("text"))))
             yield batch.filter(pa.array([lang != UNKNOWN and s >= least for lang, s in zip(langs, scores)], pa.bool_()))
 
-    return docs.mapInArrow(keep, docs.schema)
+    return map_arrow(docs, keep, docs.schema)

@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from matchcast.llm.common import byte_texts, text_hash
+from matchcast.llm.common import byte_texts, map_arrow, text_hash
 
 KINDS = ("email", "ip", "card", "phone")
 TAGS = 1 + 2 * len(KINDS)  # outside; begin and inside of each kind
@@ -253,7 +253,7 @@ def learn(docs: DataFrame, text_col: str = "text") -> Network | None:
     share = min(1.0, SAMPLE_DOCS / max(total, 1))
     rows = docs.select(text_hash(text_col).alias("h"), F.col(text_col).alias("t"))
     drawn = rows.filter(F.pmod(F.xxhash64("h", F.lit("pii")), F.lit(1 << 30)) < int(share * (1 << 30)))
-    windows = drawn.mapInArrow(_training_windows, "h long, s int, ids array<int>, tags array<int>").distinct()
+    windows = map_arrow(drawn, _training_windows, "h long, s int, ids array<int>, tags array<int>").distinct()
     taken = windows.orderBy(F.xxhash64("h", "s"), "h", "s").limit(SAMPLE_WINDOWS).collect()
     if not taken:
         return None
@@ -328,4 +328,4 @@ def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
     kind = docs.schema[id_col].dataType.simpleString()
     fields = ", ".join(f"n_{k} long" for k in KINDS)
-    return rows.mapInArrow(run, f"id {kind}, {fields}, base_sha256 string, spans string")
+    return map_arrow(rows, run, f"id {kind}, {fields}, base_sha256 string, spans string")

@@ -12,7 +12,7 @@ import pyarrow.fs as pafs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from matchcast.llm.common import byte_texts, join_groups, settle, shared_folder
+from matchcast.llm.common import byte_texts, join_groups, map_arrow, settle, shared_folder
 
 LEAST_SHARED = 1000  # bytes from which equal payloads are written once
 ARCHIVE_BYTES = 128 << 20
@@ -120,7 +120,7 @@ def write_archives(pages: DataFrame, folder: str) -> DataFrame:
     store = where.getFileSystem(spark._jsc.hadoopConfiguration())
     store.mkdirs(where)
     uri = store.makeQualified(where).toUri()
-    index = typed.mapInArrow(_writer(f"{uri.getScheme()}://{uri.getAuthority() or ''}{uri.getPath()}"), INDEX)
+    index = map_arrow(typed, _writer(f"{uri.getScheme()}://{uri.getAuthority() or ''}{uri.getPath()}"), INDEX)
     index.write.parquet(folder + "/index")
     return spark.read.parquet(folder + "/index")
 
@@ -179,7 +179,7 @@ def read_records(index: DataFrame, keep_payload: bool = True) -> DataFrame:
     bytes apart in one range of at most ``RANGE_BYTES`` (a larger record alone), and checks each response's digest.
     """
     wanted = index.select("archive", "offset", "length").repartitionByRange("archive", "offset").sortWithinPartitions("archive", "offset")
-    return wanted.mapInArrow(_reader(keep_payload), RECORDS)
+    return map_arrow(wanted, _reader(keep_payload), RECORDS)
 
 
 def round_trip(pages: DataFrame) -> DataFrame:
