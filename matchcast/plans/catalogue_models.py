@@ -12,6 +12,7 @@ from matchcast.operators.splits import temporal_split
 from matchcast.plans import experiment, scoring
 from matchcast.plans.catalogue import _first_date, _scores, _scratch, registered, rounded
 from matchcast.plans.prepare import LABEL, Prepared, prepare_train_test
+from matchcast.sources import readers
 from matchcast.sources.games import load_games, read
 
 FOREST = {"n_estimators": 20, "max_depth": 5}
@@ -270,13 +271,13 @@ def experiment_verdict(spark, sf_dir):
     return verdict
 
 
-def _stored_model(spark, sf_dir):
+def _stored_model(spark, sf_dir) -> tuple[DataFrame, str]:
     games = load_games(spark, sf_dir)
     prepared = prepare_train_test(games)
     fitted = learners.fit_classifier(prepared.train, prepared.features, LABEL, "naive_bayes")
     path = _scratch(spark, "model")
-    learners.save_classifier(spark, path, fitted, prepared.state)
-    return games, learners.load_classifier(spark, path)
+    ensembles.save_model(spark, path, fitted, prepared.state)
+    return games, path
 
 
 V1_FEATURES = [
@@ -305,12 +306,41 @@ def score_v1(spark, sf_dir):
 
 @registered
 def score_v2(spark, sf_dir):
-    games, artifacts = _stored_model(spark, sf_dir)
-    day = _first_date(spark, sf_dir)
+    games, path = _stored_model(spark, sf_dir)
+    artifacts, day = ensembles.load_model(spark, path), _first_date(spark, sf_dir)
     scored = scoring.score_v2(games, artifacts, day, mark_stale=True)
     return scored.select("game_id", scoring.HOME_PROBABILITY, scoring.AWAY_PROBABILITY, "stale")
 
 
+@registered
+def nightly(spark, sf_dir):
+    """Where the nightly job stops with its flag off, without games and with both, and what it stores."""
+    games, model = _stored_model(spark, sf_dir)
+    day, path = _first_date(spark, sf_dir), _scratch(spark, "nightly")
+    flags = read(spark, sf_dir, "nation").where("n_nationkey < 1").select(
+        F.col("n_nationkey").alias("id"), F.lit(scoring.SEASON_FLAG).alias("flag"), F.lit(1).alias("is_enabled")
+    )
+    runs = {
+        "flag off": (games, flags.withColumn("is_enabled", F.lit(0))),
+        "no games": (games.where(F.lit(False)), flags),
+        "all": (games, flags),
+    }
+    states = [
+        (name, scoring.nightly(spark, part, switch, model, path, day, 2)) for name, (part, switch) in runs.items()
+    ]
+    stored = readers.read_table(spark, path).agg(F.count("*").alias("stored"), F.count("created_at").alias("stamped"))
+    return spark.createDataFrame(states, "run string, state string").join(
+        F.broadcast(stored), F.col("run") == "all", "left"
+    )
+
+
+@registered
+def train_models(spark, sf_dir):
+    """Several models trained, the best on the test rows first; one of them calibrated by folds."""
+    models = {"bayes": ("naive_bayes", {}), "linear": ("logistic_regression", {})}
+    return experiment.train_models(_prepared(spark, sf_dir), models, calibrate=True)[0]
+
+
 # --- sampling --------------------------------------------------------------------------------
 
 

@@ -585,6 +585,13 @@ ORACLE["score_v2"] = query(
               round_even(1e0 - p, 3) AS away_team_predicted_win_pct, FALSE AS stale FROM p""",
 )
 
+ORACLE["nightly"] = query(
+    [GAMES],
+    """SELECT 'flag off' AS run, 'disabled' AS state, NULL::BIGINT AS stored, NULL::BIGINT AS stamped
+       UNION ALL SELECT 'no games', 'no games', NULL, NULL
+       UNION ALL SELECT 'all', 'written', count(*), count(*) FROM (SELECT DISTINCT home_team, game_date FROM games)""",
+)
+
 # --- sampling --------------------------------------------------------------------------------
 
 # Cumulative Poisson(1) chances.
