@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 from itertools import combinations, repeat
 
 import numpy as np
@@ -13,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from matchcast.llm.common import HOT_SHARE, SALTS, byte_texts, drop_rows, join_groups, settle, text_hash
+from matchcast.llm.common import HOT_SHARE, SALTS, byte_texts, drop_rows, join_groups, map_arrow, release, settle, text_hash
 from matchcast.llm.components import components
 
 BITS = 64
@@ -71,7 +72,7 @@ def fingerprints(docs: DataFrame, id_cols: list[str], text_col: str = "text", sh
             fps = np.array([fingerprint(t, shingle) for t in byte_texts(batch.column("_text"))], np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in id_cols), pa.array(fps, pa.int64())], [*id_cols, "fp"])
 
-    return rows.mapInArrow(run, rows.drop("_text").withColumn("fp", F.lit(0).cast("long")).schema)
+    return map_arrow(rows, run, rows.drop("_text").withColumn("fp", F.lit(0).cast("long")).schema)
 
 
 def ball(radius: int) -> list[int]:
@@ -129,8 +130,10 @@ def _with_roots(rows: DataFrame, nodes: DataFrame, fp: str, links: DataFrame) ->
 
 
 WORDS = 8  # of a wide fingerprint: the first filters pairs, the next four make the blocks
-BLOCKS = [(word, shift) for word in (1, 2, 3, 4) for shift in (0, 24)]
+BLOCK_WORDS = (1, 2, 3, 4)  # each has two blocks
 BLOCK_MASK = (1 << 24) - 1
+FIRST_BITS = 32  # of the first word, which go with each variant
+FIRST_MASK = (1 << FIRST_BITS) - 1
 
 
 def bits_apart(similarity: float, bits: int) -> float:
@@ -138,20 +141,15 @@ def bits_apart(similarity: float, bits: int) -> float:
     return math.acos(2 * similarity / (1 + similarity)) / math.pi * bits
 
 
-def wide_links(nodes: DataFrame, similarity: float) -> DataFrame:
-    """``(a, b)``: nodes whose wide fingerprints ``(node, words)`` tell of at least this similarity.
-
-    Each of eight blocks of 24 bits emits its ball of radius 1, so two fingerprints meet if any of their blocks
-    differ in at most 2 bits. Those that meet are sorted by their first word, and each is held against the one
-    before it; a block on which very many meet is cut into 64 parts whose heads are compared in the
-    same way. Which blocks are so large is told by a sample, and it decides the cutting alone.
-    """
+def _met_pairs(nodes: DataFrame, word: int, near: int) -> DataFrame:
+    """``(a, b)`` that meet on one of a word's two blocks and differ in at most ``near`` of the 32 other bits."""
     blocks = [
         F.shiftright(F.get("words", F.lit(word)), shift).bitwiseAND(BLOCK_MASK) + F.lit(k << 24)
-        for k, (word, shift) in enumerate(BLOCKS)
+        for k, shift in enumerate((0, 24))
     ]
     masks = F.array(*[F.lit(m).cast("long") for m in (0, *(1 << b for b in range(24)))])
-    each = nodes.select("node", F.get("words", F.lit(0)).alias("first"), F.explode(F.array(*blocks)).alias("block"))
+    first = F.get("words", F.lit(0)).bitwiseAND(FIRST_MASK)
+    each = nodes.select("node", first.alias("first"), F.explode(F.array(*blocks)).alias("block"))
     met = each.select("node", "first", "block", F.explode(masks).alias("mask")).select(
         "node", "first", F.col("block").bitwiseXOR(F.col("mask")).alias("v")
     )
@@ -162,16 +160,31 @@ def wide_links(nodes: DataFrame, similarity: float) -> DataFrame:
 
     def beside(rows: DataFrame, *keys: str) -> DataFrame:
         order = W.partitionBy(*keys).orderBy("first", "node")
-        before = F.lag(F.struct("first", "node")).over(order)
-        return rows.withColumn("before", before)
+        return rows.withColumn("before", F.lag(F.struct("first", "node")).over(order))
 
-    near = int(bits_apart(similarity, BITS) + 3.6 * (BITS * 0.13) ** 0.5)
-    pairs = lambda df: df.filter(F.bit_count(F.col("first").bitwiseXOR(F.col("before.first"))) <= near).select(
-        F.least("node", "before.node").alias("a"), F.greatest("node", "before.node").alias("b")
-    )
-    sorted_ = beside(dealt, "v", "salt")
-    heads = beside(beside(dealt.filter("large"), "v", "salt").filter("before IS NULL").drop("before"), "v")
-    found = settle(pairs(sorted_).unionByName(pairs(heads)).distinct())
+    def pairs(rows: DataFrame) -> DataFrame:
+        apart = F.bit_count(F.col("first").bitwiseXOR(F.col("before.first")))
+        ends = F.least("node", "before.node").alias("a"), F.greatest("node", "before.node").alias("b")
+        return rows.filter(apart <= near).select(*ends)
+
+    heads = beside(dealt.filter("large"), "v", "salt").filter("before IS NULL").drop("before")
+    return pairs(beside(dealt, "v", "salt")).unionByName(pairs(beside(heads, "v"))).distinct()
+
+
+def wide_links(nodes: DataFrame, similarity: float) -> DataFrame:
+    """``(a, b)``: nodes whose wide fingerprints ``(node, words)`` tell of at least this similarity.
+
+    Each of eight blocks of 24 bits emits its ball of radius 1, so two fingerprints meet if any of their blocks
+    differ in at most 2 bits. Those that meet are sorted by 32 other bits, and each is held against the one
+    before it; a block on which very many meet is cut into 64 parts whose heads are compared in the
+    same way. Which blocks are so large is told by a sample, and it decides the cutting alone.
+    """
+    share = bits_apart(similarity, 1)
+    near = int(FIRST_BITS * share + 3 * (FIRST_BITS * share * (1 - share)) ** 0.5)
+    parts = [settle(_met_pairs(nodes, word, near)) for word in BLOCK_WORDS]  # one after another, to need less disk
+    found = settle(reduce(DataFrame.unionByName, parts).distinct())
+    for part in parts:
+        release(part)
     ends = found.join(nodes.select(F.col("node").alias("a"), F.col("words").alias("wa")), "a").join(
         nodes.select(F.col("node").alias("b"), F.col("words").alias("wb")), "b"
     )
@@ -194,7 +207,7 @@ def similar_documents(docs: DataFrame, similarity: float = 0.8, shingle: int = 5
             yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("h"), words], ["id", "h", "words"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    printed = settle(rows.mapInArrow(run, f"id {kind}, h long, words array<long>"))
+    printed = settle(map_arrow(rows, run, f"id {kind}, h long, words array<long>"))
     nodes = settle(printed.groupBy("words").agg(F.min("id").alias("node"), F.count("*").alias("n")))
     named = nodes.filter("node IS NOT NULL").select("node", "words")
     return _with_roots(printed, nodes, "words", wide_links(named, similarity))
