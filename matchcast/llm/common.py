@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 HOT_SHARE = 1000  # a key with more than this fraction of all rows is split; so at most this many are hot
 SALTS = 64
+ROWS = 512  # of an Arrow batch that are worked on at a time
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -121,9 +122,13 @@ def _ship(spark: SparkSession) -> None:
 
 
 def map_arrow(df: DataFrame, function, schema) -> DataFrame:
-    """``df.mapInArrow``, on executors that have this package."""
+    """``df.mapInArrow``, on executors that have this package, and by few rows at a time to need less memory."""
     _ship(df.sparkSession)
-    return df.mapInArrow(function, schema)
+
+    def by_few(batches):
+        return function(b.slice(i, ROWS) for b in batches for i in range(0, b.num_rows, ROWS))
+
+    return df.mapInArrow(by_few, schema)
 
 
 def byte_texts(column: pa.Array) -> list[bytes]:

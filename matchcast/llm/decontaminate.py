@@ -18,7 +18,7 @@ LITERAL = 5 / 8  # share of a window that is no placeholder
 ENOUGH = 13  # words of an item that must be covered,
 SHARE = 0.8  # or this share of a shorter item
 FILTER_BITS = 1 << 23  # of the filter that is sent to the scans: 1 MB, whatever the benchmark's size
-PIECE = 1 << 20  # bytes that are cut into words at a time
+PIECE = 1 << 18  # bytes that are cut into words at a time
 
 # Words that after a number are a unit, and given names that count wherever they stand.
 UNITS = (

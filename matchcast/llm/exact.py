@@ -15,7 +15,7 @@ from matchcast.llm.common import byte_texts, drop_rows, join_groups, keep_rows,
 WINDOW = 16  # bytes that decide whether a chunk ends after them
 LEAST = 512  # bytes of a chunk, unless its text ends
 MASK_BITS = 11  # a boundary every 2**MASK_BITS places, on average
-PIECE = 1 << 20  # bytes that are scanned at a time
+PIECE = 1 << 18  # bytes that are scanned at a time
 
 
 def chunk_ends(text: bytes) -> list[int]:

@@ -17,7 +17,7 @@ BUCKETS = 1 << 15
 ORDERS = (1, 2, 3)
 SCALE = 1 << 14  # log-probabilities are whole numbers of 1/SCALE, so sums do not depend on their order
 SAMPLE = 3000  # documents a language is learned from, in expectation
-PIECE = 1 << 20  # code points that are scored at a time
+PIECE = 1 << 18  # code points that are scored at a time
 UNKNOWN = "und"
 
 
