@@ -12,11 +12,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from matchcast.llm.common import HOT_SHARE, SALTS, byte_texts, release, settle, text_hash
+from matchcast.llm.common import HOT_SHARE, SALTS, byte_texts, join_groups, map_arrow, release, settle, text_hash
 
 LENGTH = 400  # bytes of a string that must not stand twice
 GRAM = 200  # bytes of a sampled suffix's first block
-PIECE = 1 << 20  # windows that are looked at together
+PIECE = 1 << 18  # windows that are looked at together
 _PLACE = (1 << 21) - 1
 _BASES = (0x9E3779B97F4A7C15, 0xD1342543DE82EF95)
 
@@ -203,30 +203,29 @@ def repeated_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     Suffixes are sampled, so that every window of ``length`` bytes has one at a place only its bytes decide,
     and windows that share one lie in a block. A block of one run is settled at once, as are runs that
-    stand more than once; other runs are refined to single windows. Blocks with a large share of all rows
-    are split: their count is known, and a run's rows stay together.
+    stand more than once; other runs are refined to single windows, one of each run in place of its copies.
+    Runs and blocks are counted before they are shuffled, and large ones dealt out over many tasks.
     """
     kind = docs.schema[id_col].dataType.simpleString()
     texts = docs.select(F.col(id_col).alias("id"), text_hash(text_col).alias("h"), F.col(text_col).alias("t"))
-    suffixes = settle(texts.mapInArrow(_scan(length, gram), f"id {kind}, h long, core long, run long, first int, windows int"))
-
-    hot = _hot(suffixes, ["core"], suffixes.count())
-    salt = F.when(F.col("hot"), F.pmod("run", F.lit(SALTS))).otherwise(F.lit(0))
-    rows = suffixes.join(F.broadcast(hot), "core", "left").withColumn("salt", salt)
-    block, one = W.partitionBy("core", "salt"), W.partitionBy("core", "salt", "run")
-    copies = F.count("*").over(one)
-    mixed = F.col("hot").isNotNull() | (F.min("run").over(block) != F.max("run").over(block))
-    rank = F.row_number().over(one.orderBy("first"))
-    judged = rows.select("id", "h", "core", "first", "windows", copies.alias("copies"), mixed.alias("mixed"), rank.alias("rank"))
-    judged = settle(judged.filter((F.col("copies") > 1) | F.col("mixed")))
-    release(suffixes)
-
-    open_runs = judged.filter((F.col("rank") == 1) & F.col("mixed"))
-    listed = _per_text(open_runs, F.col("first"), F.col("windows"), F.col("core"), F.least("copies", F.lit(2)).alias("copies"), name="runs")
-    windows = settle(
-        _with_lists(texts, listed, "inner").select("id", "h", "t", "runs")
-        .mapInArrow(_window_hashes(length), f"id {kind}, h long, core long, window long, first int, copies int")
-    )
+    suffixes = settle(map_arrow(texts, _scan(length, gram), f"id {kind}, h long, core long, run long, first int, windows int"))
+
+    lead = F.xxhash64("id", "h", "first")
+    runs = settle(suffixes.groupBy("core", "run").agg(F.count("*").alias("copies"), F.min(lead).alias("lead")))
+    blocks = runs.groupBy("core").agg(F.count("*").alias("runs"), F.sum("copies").alias("n"))
+    blocks = settle(blocks.filter("n > 1").select("core", "runs", (F.col("runs") > 1).alias("mixed")))
+    met = settle(join_groups(runs, blocks, ["core"], "runs", F.col("run"), "inner").drop("runs"))
+    release(runs)
+    judged = join_groups(suffixes, met, ["core", "run"], "copies", F.struct("id", "h", "first"), "inner")
+    judged = settle(judged.select("id", "h", "core", "first", "windows", "copies", "mixed", (lead == F.col("lead")).alias("leads")))
+    for done in (suffixes, blocks, met):
+        release(done)
+
+    open_runs = judged.filter("leads AND mixed")
+    listed = _per_text(open_runs, F.col("first"), F.col("windows"), F.col("core"), F.least("copies", F.lit(2)).cast("int").alias("copies"), name="runs")
+    opened = _with_lists(texts, listed, "inner").select("id", "h", "t", "runs")
+    fields = f"id {kind}, h long, core long, window long, first int, copies int"
+    windows = settle(map_arrow(opened, _window_hashes(length), fields))
     common = _hot(windows, ["core", "window"], windows.count())
     single = windows.join(F.broadcast(common), ["core", "window"], "left")
     twice = F.sum("copies").over(W.partitionBy("core", "window", F.when(F.col("hot"), F.pmod("first", F.lit(SALTS))).otherwise(F.lit(0)))) > 1
@@ -237,4 +236,4 @@ def repeated_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     ranges = settle(_per_text(whole.unionByName(parts), F.col("a"), F.col("b"), name="ranges"))
     release(windows)
     done = _with_lists(texts, ranges, "left").select("id", "t", "ranges")
-    return done.mapInArrow(_removal, f"id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    return map_arrow(done, _removal, f"id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
