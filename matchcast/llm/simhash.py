@@ -1,20 +1,19 @@
-"""SimHash near-duplicates, found by meeting in the middle between two fingerprints."""
+"""Near-duplicates: by SimHash, meeting in the middle between two fingerprints, and by similarity of shingle sets."""
 
 from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from functools import reduce
 from itertools import combinations, repeat
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from matchcast.llm.common import HOT_SHARE, SALTS, byte_texts, drop_rows, join_groups, map_arrow, release, settle, text_hash
+from matchcast.llm.common import byte_texts, drop_rows, join_groups, map_arrow, release, settle, text_hash
 from matchcast.llm.components import components
 
 BITS = 64
@@ -48,21 +47,6 @@ def fingerprint(text: bytes, shingle: int = 3) -> int:
     return int(np.packbits(2 * ones > n, bitorder="little").view(np.uint64)[0])
 
 
-def wide_fingerprint(text: bytes, shingle: int = 5, words: int = 8) -> np.ndarray:
-    """``words`` x 64 bits over the text's distinct shingles, the words from hashes of the hashes."""
-    h = np.unique(np.concatenate([*_shingle_hashes(text, shingle), np.zeros(0, np.uint64)]))
-    out = np.zeros(words, np.uint64)
-    for k in range(words):
-        ones = np.zeros(BITS, np.int64)
-        for start in range(0, len(h), BLOCK):
-            mixed = h[start : start + BLOCK] + np.uint64(k * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF)
-            mixed = (mixed ^ (mixed >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-            mixed = (mixed ^ (mixed >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-            ones += _ones(mixed ^ (mixed >> np.uint64(31)))
-        out[k] = np.packbits(2 * ones > len(h), bitorder="little").view(np.uint64)[0]
-    return out
-
-
 def fingerprints(docs: DataFrame, id_cols: list[str], text_col: str = "text", shingle: int = 3) -> DataFrame:
     """``id_cols, fp``: the fingerprint of every whole text as a signed long; null and blank texts have 0."""
     rows = docs.select(*id_cols, F.col(text_col).alias("_text"))
@@ -129,88 +113,137 @@ def _with_roots(rows: DataFrame, nodes: DataFrame, fp: str, links: DataFrame) ->
     return join_groups(rows, placed, [fp], "n", F.struct("id", "h"))
 
 
-WORDS = 8  # of a wide fingerprint: the first filters pairs, the next four make the blocks
-BLOCK_WORDS = (1, 2, 3, 4)  # each has two blocks
-BLOCK_MASK = (1 << 24) - 1
-FIRST_BITS = 32  # of the first word, which go with each variant
-FIRST_MASK = (1 << FIRST_BITS) - 1
+COMMON_SHARE = 64  # one document in so many is looked at to tell which shingles are common
+COMMON_MOST = 1 << 17  # common shingles that are told to the scans: 1 MB, whatever the corpus's size
+EARLY = 6  # the first shingles of a prefix, which make the chains of the first round
 
 
-def bits_apart(similarity: float, bits: int) -> float:
-    """Expected distance of two fingerprints whose shingle sets have this Jaccard similarity."""
-    return math.acos(2 * similarity / (1 + similarity)) / math.pi * bits
+def shingle_set(text: bytes, shingle: int = 5) -> np.ndarray:
+    """The distinct hashes of the text's word shingles, ascending."""
+    return np.unique(np.concatenate([*_shingle_hashes(text, shingle), np.zeros(0, np.uint64)]))
 
 
-def _met_pairs(nodes: DataFrame, word: int, near: int) -> DataFrame:
-    """``(a, b)`` that meet on one of a word's two blocks and differ in at most ``near`` of the 32 other bits."""
-    blocks = [
-        F.shiftright(F.get("words", F.lit(word)), shift).bitwiseAND(BLOCK_MASK) + F.lit(k << 24)
-        for k, shift in enumerate((0, 24))
-    ]
-    masks = F.array(*[F.lit(m).cast("long") for m in (0, *(1 << b for b in range(24)))])
-    first = F.get("words", F.lit(0)).bitwiseAND(FIRST_MASK)
-    each = nodes.select("node", first.alias("first"), F.explode(F.array(*blocks)).alias("block"))
-    met = each.select("node", "first", "block", F.explode(masks).alias("mask")).select(
-        "node", "first", F.col("block").bitwiseXOR(F.col("mask")).alias("v")
-    )
-    sample = met.filter(F.pmod(F.xxhash64("node"), F.lit(512)) == 0).groupBy("v").agg(F.count("*").alias("n"))
-    large = settle(sample.orderBy(F.desc("n"), "v").limit(HOT_SHARE).filter("n > 20").select("v", F.lit(True).alias("large")))
-    salt = F.when(F.col("large"), F.pmod(F.xxhash64("node"), F.lit(SALTS)).cast("int")).otherwise(F.lit(0))
-    dealt = met.join(F.broadcast(large), "v", "left").withColumn("salt", salt)
+def rare_first(grams: np.ndarray, common: np.ndarray, rank: np.ndarray) -> np.ndarray:
+    """The hashes in one order for all texts: those not in ``common`` as they are, then the common ones by rank."""
+    if not len(common):
+        return grams
+    at = np.minimum(np.searchsorted(common, grams), len(common) - 1)
+    known = common[at] == grams
+    return np.concatenate([grams[~known], grams[known][np.argsort(rank[at[known]])]])
 
-    def beside(rows: DataFrame, *keys: str) -> DataFrame:
-        order = W.partitionBy(*keys).orderBy("first", "node")
-        return rows.withColumn("before", F.lag(F.struct("first", "node")).over(order))
 
-    def pairs(rows: DataFrame) -> DataFrame:
-        apart = F.bit_count(F.col("first").bitwiseXOR(F.col("before.first")))
-        ends = F.least("node", "before.node").alias("a"), F.greatest("node", "before.node").alias("b")
-        return rows.filter(apart <= near).select(*ends)
+def _common(rows: DataFrame, shingle: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes that a sample of ``rows(id, h, t)`` has several times, ascending, and their places by frequency."""
+    part = rows.filter(F.pmod(F.xxhash64("id", "h"), F.lit(COMMON_SHARE)) == 0).select("t")
 
-    heads = beside(dealt.filter("large"), "v", "salt").filter("before IS NULL").drop("before")
-    return pairs(beside(dealt, "v", "salt")).unionByName(pairs(beside(heads, "v"))).distinct()
+    def run(batches):
+        for batch in batches:
+            found = [shingle_set(t, shingle).view(np.int64) for t in byte_texts(batch.column("t"))]
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([*found, np.zeros(0, np.int64)]), pa.int64())], ["gram"])
 
+    counts = map_arrow(part, run, "gram long").groupBy("gram").agg(F.count("*").alias("n")).filter("n > 2")
+    listed = counts.orderBy(F.desc("n"), "gram").limit(COMMON_MOST).collect()
+    grams = np.array([r["gram"] for r in listed], np.int64).view(np.uint64)
+    order = np.argsort(grams)
+    return grams[order], (len(grams) - np.arange(len(grams)))[order]
 
-def wide_links(nodes: DataFrame, similarity: float) -> DataFrame:
-    """``(a, b)``: nodes whose wide fingerprints ``(node, words)`` tell of at least this similarity.
 
-    Each of eight blocks of 24 bits emits its ball of radius 1, so two fingerprints meet if any of their blocks
-    differ in at most 2 bits. Those that meet are sorted by 32 other bits, and each is held against the one
-    before it; a block on which very many meet is cut into 64 parts whose heads are compared in the
-    same way. Which blocks are so large is told by a sample, and it decides the cutting alone.
-    """
-    share = bits_apart(similarity, 1)
-    near = int(FIRST_BITS * share + 3 * (FIRST_BITS * share * (1 - share)) ** 0.5)
-    parts = [settle(_met_pairs(nodes, word, near)) for word in BLOCK_WORDS]  # one after another, to need less disk
-    found = settle(reduce(DataFrame.unionByName, parts).distinct())
-    for part in parts:
-        release(part)
-    ends = found.join(nodes.select(F.col("node").alias("a"), F.col("words").alias("wa")), "a").join(
-        nodes.select(F.col("node").alias("b"), F.col("words").alias("wb")), "b"
+def _verified(pairs: DataFrame, nodes: DataFrame, rows: DataFrame, similarity: float, shingle: int) -> DataFrame:
+    """Those of ``(a, b)`` whose sets of shingles have at least the similarity, read again from the texts."""
+    ends = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+    wanted = nodes.join(ends, "node").select(F.col("node").alias("id"), "h")
+    texts = rows.join(wanted, ["id", "h"], "left_semi").select("id", "t")
+
+    def run(batches):
+        for batch in batches:
+            sets = [shingle_set(t, shingle).view(np.int64) for t in byte_texts(batch.column("t"))]
+            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(sets, pa.list_(pa.int64()))], ["node", "grams"])
+
+    kind = rows.schema["id"].dataType.simpleString()
+    sets = settle(map_arrow(texts, run, f"node {kind}, grams array<long>"))
+    one = sets.groupBy("node").agg(F.first("grams").alias("grams"))  # a document may stand in several rows
+    both = pairs.join(one.select(F.col("node").alias("a"), F.col("grams").alias("ga")), "a").join(
+        one.select(F.col("node").alias("b"), F.col("grams").alias("gb")), "b"
     )
-    apart = F.aggregate(F.zip_with("wa", "wb", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda x, y: x + y)
-    links = ends.filter(apart <= int(bits_apart(similarity, BITS * WORDS))).select("a", "b")
+    same = F.size(F.array_intersect("ga", "gb"))
+    links = settle(both.filter(same * (1 + similarity) >= similarity * (F.size("ga") + F.size("gb")) - 1e-9).select("a", "b"))
+    release(sets)
     return links
 
 
+def set_links(nodes: DataFrame, rows: DataFrame, similarity: float, shingle: int) -> DataFrame:
+    """``(a, b)``: nodes ``(node, h, n, prefix)`` whose sets have at least this similarity, enough to connect all that have.
+
+    With all shingles in one order, two such sets share one among the first ``n - ceil(similarity * n) + 1``
+    of either, and behind the first that they share either has as many as must be common: pairs are
+    compared if that holds at a shingle they share, and none that is alike is lost by it.
+    In a first round each node is held against the one before it on the first shingles of its prefix, which connects
+    most of what is alike. In a second, every two nodes that meet and are not yet connected are compared,
+    however many meet on a shingle.
+    """
+    posted = nodes.select("node", "n", F.posexplode("prefix").alias("place", "gram"))
+    order = W.partitionBy("gram").orderBy("n", "node")
+    beside = posted.withColumns({"before": F.lag(F.struct("node", "n", "place")).over(order), "after": F.lead("node").over(order)})
+    met = settle(beside.filter("before IS NOT NULL OR after IS NOT NULL").drop("after"))
+
+    def fit(x: str, y: str) -> Column:
+        left = F.least(F.col(f"{x}.n") - F.col(f"{x}.place"), F.col(f"{y}.n") - F.col(f"{y}.place"))
+        return left * (1 + similarity) >= similarity * (F.col(f"{x}.n") + F.col(f"{y}.n")) - 1e-9
+
+    def ends(x: str, y: str) -> list[Column]:
+        return [f(f"{x}.node", f"{y}.node").alias(c) for f, c in ((F.least, "a"), (F.greatest, "b"))]
+
+    chained = met.alias("x").filter(F.col("place") < EARLY).filter(fit("x", "before")).select(*ends("x", "before"))
+    chains = _verified(settle(chained.distinct()), nodes, rows, similarity, shingle)
+    roots = settle(components(chains))
+    placed = met.drop("before").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    placed = settle(placed)
+    release(met)
+    several = placed.groupBy("gram").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low != high")
+    open_ = settle(placed.join(several.select("gram"), "gram", "left_semi"))
+    release(placed)
+    heads = open_.groupBy("gram", "root").agg(F.max(F.col("n") - F.col("place")).alias("most"), F.min("n").alias("least"))
+    x, y = heads.alias("x"), heads.alias("y")
+    may = F.least("x.most", "y.most") * (1 + similarity) >= similarity * (F.col("x.least") + F.col("y.least")) - 1e-9
+    apart = x.join(y, (F.col("x.gram") == F.col("y.gram")) & (F.col("x.root") < F.col("y.root")) & may)
+    apart = apart.select(F.col("x.gram").alias("gram"), F.col("x.root").alias("root"), F.col("y.root").alias("other"))
+    left = open_.join(apart, ["gram", "root"]).alias("x")
+    right = open_.alias("y")
+    pairs = left.join(right, (F.col("x.gram") == F.col("y.gram")) & (F.col("x.other") == F.col("y.root")) & fit("x", "y"))
+    rest = _verified(settle(pairs.select(*ends("x", "y")).distinct()), nodes, rows, similarity, shingle)
+    release(open_)
+    return chains.unionByName(rest)
+
+
 def similar_documents(docs: DataFrame, similarity: float = 0.8, shingle: int = 5, id_col="doc_id", text_col="text") -> DataFrame:
     """``id, h, root`` for every row, as ``near_duplicates`` gives them, by similarity of the sets of word shingles.
 
-    The similarity is that which the distance of fingerprints of 512 bits tells of, to within about 0.035 at 0.8.
+    The similarity is that of the sets (of 64-bit hashes), and no pair that has it is left out, at any size.
     """
     rows = docs.select(F.col(id_col).alias("id"), text_hash(text_col).alias("h"), F.col(text_col).alias("t"))
+    shared = docs.sparkSession.sparkContext.broadcast(_common(rows, shingle))
 
     def run(batches):
         for batch in batches:
-            fps = [wide_fingerprint(t, shingle, WORDS).view(np.int64) for t in byte_texts(batch.column("t"))]
-            words = pa.array(list(fps), pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("h"), words], ["id", "h", "words"])
+            marks, sizes, prefixes = [], [], []
+            for text in byte_texts(batch.column("t")):
+                grams = shingle_set(text, shingle)
+                marks.append(np.frombuffer(xxhash.xxh3_128_digest(grams.tobytes()), np.int64))
+                sizes.append(len(grams))
+                kept = len(grams) - math.ceil(similarity * len(grams) - 1e-9) + 1 if len(grams) else 0
+                prefixes.append(rare_first(grams, *shared.value)[:kept].view(np.int64))
+            longs = pa.list_(pa.int64())
+            columns = [pa.array(marks, longs), pa.array(sizes, pa.int32()), pa.array(prefixes, longs)]
+            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("h"), *columns], ["id", "h", "words", "size", "prefix"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    printed = settle(map_arrow(rows, run, f"id {kind}, h long, words array<long>"))
-    nodes = settle(printed.groupBy("words").agg(F.min("id").alias("node"), F.count("*").alias("n")))
-    named = nodes.filter("node IS NOT NULL").select("node", "words")
-    return _with_roots(printed, nodes, "words", wide_links(named, similarity))
+    printed = settle(map_arrow(rows, run, f"id {kind}, h long, words array<long>, size int, prefix array<long>"))
+    first = F.min(F.when(F.col("id").isNotNull(), F.struct("id", "h"))).alias("first")
+    whole = printed.groupBy("words").agg(first, F.count("*").alias("n"), F.first("size").alias("size"), F.first("prefix").alias("prefix"))
+    whole = settle(whole.select("words", F.col("first.id").alias("node"), F.col("first.h").alias("h"), "n", "size", "prefix"))
+    sets = whole.filter("node IS NOT NULL").select("node", "h", F.col("size").alias("n"), "prefix")
+    links = set_links(sets, rows, similarity, shingle)
+    return _with_roots(printed.select("id", "h", "words"), whole.select("words", "node", "n"), "words", links)
 
 
 def keep_first(docs: DataFrame, similarity: float = 0.8, shingle: int = 5) -> DataFrame:

@@ -180,6 +180,27 @@ def test_many_similar_texts_are_one_group(documents):
     assert Counter(found)[0] == 700 and len(set(found)) == 31
 
 
+def jaccard(x, y):
+    x, y = (set(zip(*(t.lower().split()[i:] for i in range(5)))) for t in (x, y))
+    return len(x & y) / len(x | y)
+
+
+def test_similar_texts_are_brute_force(documents):
+    rng = random.Random(31)
+    vocabulary = [f"w{i}" for i in range(3000)]
+    rows, like = [], {}
+    for g in range(150):
+        base = [rng.choice(vocabulary) for _ in range(200)]
+        other = list(base)
+        for k in rng.sample(range(0, 195, 5), rng.randrange(2, 7)):
+            other[k] = rng.choice(vocabulary)
+        pair = " ".join(base), " ".join(other)
+        rows += [(2 * g, pair[0]), (2 * g + 1, pair[1])]
+        like |= {2 * g: 2 * g, 2 * g + 1: 2 * g + (jaccard(*pair) < 0.8)}
+    assert 40 < sum(i % 2 and like[i] < i for i in like) < 140
+    assert {r.id: r.root for r in simhash.similar_documents(documents(rows)).collect()} == like
+
+
 def test_one_document_in_several_rows_is_one(documents):
     rows = [(5, "a b c d e f"), (5, "u v w x y z"), (2, "a b c d e f"), (3, "u v w x y z"), (9, "m n o p q r")]
     assert {(r.id, r.root) for r in simhash.near_duplicates(documents(rows)).collect()} == {(5, 2), (2, 2), (3, 2), (9, 9)}
