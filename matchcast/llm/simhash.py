@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from matchcast.llm.common import byte_texts, drop_rows, join_groups, map_arrow, release, settle, text_hash
+from matchcast.llm.common import HOT_SHARE, SALTS, byte_texts, drop_rows, join_groups, map_arrow, release, settle, text_hash
 from matchcast.llm.components import components
 
 BITS = 64
@@ -132,9 +132,13 @@ def rare_first(grams: np.ndarray, common: np.ndarray, rank: np.ndarray) -> np.nd
     return np.concatenate([grams[~known], grams[known][np.argsort(rank[at[known]])]])
 
 
-def _common(rows: DataFrame, shingle: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes that a sample of ``rows(id, h, t)`` has several times, ascending, and their places by frequency."""
+def _common(rows: DataFrame, shingle: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes that a sample of ``rows(id, h, t)`` has several times, ascending, their places by frequency, and the hot ones.
+
+    Hot are those that more than a thousandth of the sample has, and over 20 texts of it.
+    """
     part = rows.filter(F.pmod(F.xxhash64("id", "h"), F.lit(COMMON_SHARE)) == 0).select("t")
+    least = max(part.count() // HOT_SHARE, 20)
 
     def run(batches):
         for batch in batches:
@@ -144,8 +148,9 @@ def _common(rows: DataFrame, shingle: int) -> tuple[np.ndarray, np.ndarray]:
     counts = map_arrow(part, run, "gram long").groupBy("gram").agg(F.count("*").alias("n")).filter("n > 2")
     listed = counts.orderBy(F.desc("n"), "gram").limit(COMMON_MOST).collect()
     grams = np.array([r["gram"] for r in listed], np.int64).view(np.uint64)
+    hot = np.sort(grams[[r["n"] > least for r in listed]])
     order = np.argsort(grams)
-    return grams[order], (len(grams) - np.arange(len(grams)))[order]
+    return grams[order], (len(grams) - np.arange(len(grams)))[order], hot
 
 
 def _verified(pairs: DataFrame, nodes: DataFrame, rows: DataFrame, similarity: float, shingle: int) -> DataFrame:
@@ -172,19 +177,22 @@ def _verified(pairs: DataFrame, nodes: DataFrame, rows: DataFrame, similarity: f
 
 
 def set_links(nodes: DataFrame, rows: DataFrame, similarity: float, shingle: int) -> DataFrame:
-    """``(a, b)``: nodes ``(node, h, n, prefix)`` whose sets have at least this similarity, enough to connect all that have.
+    """``(a, b)``: nodes ``(node, h, n, prefix, hot)`` whose sets have at least this similarity, enough to connect all that have.
 
     With all shingles in one order, two such sets share one among the first ``n - ceil(similarity * n) + 1``
     of either, and behind the first that they share either has as many as must be common: pairs are
     compared if that holds at a shingle they share, and none that is alike is lost by it.
     In a first round each node is held against the one before it on the first shingles of its prefix, which connects
     most of what is alike. In a second, every two nodes that meet and are not yet connected are compared,
-    however many meet on a shingle.
+    however many meet on a shingle. The last ``hot`` shingles of a prefix are chained in 64 parts, to be
+    dealt to many tasks; nodes that meet there without being chained are left to the second round.
     """
-    posted = nodes.select("node", "n", F.posexplode("prefix").alias("place", "gram"))
-    order = W.partitionBy("gram").orderBy("n", "node")
+    posted = nodes.select("node", "n", (F.size("prefix") - F.col("hot")).alias("hot"), F.posexplode("prefix").alias("place", "gram"))
+    hot = F.col("place") >= F.col("hot")
+    posted = posted.withColumn("salt", F.when(hot, F.pmod(F.xxhash64("node"), F.lit(SALTS)).cast("int")).otherwise(F.lit(-1))).drop("hot")
+    order = W.partitionBy("gram", "salt").orderBy("n", "node")
     beside = posted.withColumns({"before": F.lag(F.struct("node", "n", "place")).over(order), "after": F.lead("node").over(order)})
-    met = settle(beside.filter("before IS NOT NULL OR after IS NOT NULL").drop("after"))
+    met = settle(beside.filter("before IS NOT NULL OR after IS NOT NULL OR salt >= 0").drop("after", "salt"))
 
     def fit(x: str, y: str) -> Column:
         left = F.least(F.col(f"{x}.n") - F.col(f"{x}.place"), F.col(f"{y}.n") - F.col(f"{y}.place"))
@@ -221,27 +229,32 @@ def similar_documents(docs: DataFrame, similarity: float = 0.8, shingle: int = 5
     The similarity is that of the sets (of 64-bit hashes), and no pair that has it is left out, at any size.
     """
     rows = docs.select(F.col(id_col).alias("id"), text_hash(text_col).alias("h"), F.col(text_col).alias("t"))
-    shared = docs.sparkSession.sparkContext.broadcast(_common(rows, shingle))
+    *order, hot = _common(rows, shingle)
+    shared = docs.sparkSession.sparkContext.broadcast((order, hot))
 
     def run(batches):
+        order, hot = shared.value
         for batch in batches:
-            marks, sizes, prefixes = [], [], []
+            marks, sizes, prefixes, hots = [], [], [], []
             for text in byte_texts(batch.column("t")):
                 grams = shingle_set(text, shingle)
                 marks.append(np.frombuffer(xxhash.xxh3_128_digest(grams.tobytes()), np.int64))
                 sizes.append(len(grams))
                 kept = len(grams) - math.ceil(similarity * len(grams) - 1e-9) + 1 if len(grams) else 0
-                prefixes.append(rare_first(grams, *shared.value)[:kept].view(np.int64))
+                prefix = rare_first(grams, *order)[:kept]
+                hots.append(int(np.isin(prefix, hot).sum()))
+                prefixes.append(prefix.view(np.int64))
             longs = pa.list_(pa.int64())
-            columns = [pa.array(marks, longs), pa.array(sizes, pa.int32()), pa.array(prefixes, longs)]
-            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("h"), *columns], ["id", "h", "words", "size", "prefix"])
+            columns = [pa.array(marks, longs), pa.array(sizes, pa.int32()), pa.array(prefixes, longs), pa.array(hots, pa.int32())]
+            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("h"), *columns], ["id", "h", "words", "size", "prefix", "hot"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    printed = settle(map_arrow(rows, run, f"id {kind}, h long, words array<long>, size int, prefix array<long>"))
+    printed = settle(map_arrow(rows, run, f"id {kind}, h long, words array<long>, size int, prefix array<long>, hot int"))
     first = F.min(F.when(F.col("id").isNotNull(), F.struct("id", "h"))).alias("first")
-    whole = printed.groupBy("words").agg(first, F.count("*").alias("n"), F.first("size").alias("size"), F.first("prefix").alias("prefix"))
-    whole = settle(whole.select("words", F.col("first.id").alias("node"), F.col("first.h").alias("h"), "n", "size", "prefix"))
-    sets = whole.filter("node IS NOT NULL").select("node", "h", F.col("size").alias("n"), "prefix")
+    same = [F.first(c).alias(c) for c in ("size", "prefix", "hot")]
+    whole = printed.groupBy("words").agg(first, F.count("*").alias("n"), *same)
+    whole = settle(whole.select("words", F.col("first.id").alias("node"), F.col("first.h").alias("h"), "n", "size", "prefix", "hot"))
+    sets = whole.filter("node IS NOT NULL").select("node", "h", F.col("size").alias("n"), "prefix", "hot")
     links = set_links(sets, rows, similarity, shingle)
     return _with_roots(printed.select("id", "h", "words"), whole.select("words", "node", "n"), "words", links)
 

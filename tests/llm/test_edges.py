@@ -201,6 +201,16 @@ def test_similar_texts_are_brute_force(documents):
     assert {r.id: r.root for r in simhash.similar_documents(documents(rows)).collect()} == like
 
 
+def test_likes_meet_among_very_many_unlike_texts(documents):
+    rng = random.Random(33)
+    shared = " ".join(f"b{i}" for i in range(84))
+    own = lambda n: " ".join(f"o{rng.randrange(10**9)}" for _ in range(n))
+    rows = [(i, f"{shared} {own(24)}") for i in range(10400)] + [(20000 + i, f"{shared} {own(3)}") for i in range(12)]
+    assert jaccard(rows[0][1], rows[1][1]) < 0.65 and jaccard(rows[0][1], rows[-1][1]) < 0.78 and jaccard(rows[-2][1], rows[-1][1]) > 0.9
+    found = {r.id: r.root for r in simhash.similar_documents(documents(rows)).collect()}
+    assert found == {i: min(i, 20000) for i, _ in rows}
+
+
 def test_one_document_in_several_rows_is_one(documents):
     rows = [(5, "a b c d e f"), (5, "u v w x y z"), (2, "a b c d e f"), (3, "u v w x y z"), (9, "m n o p q r")]
     assert {(r.id, r.root) for r in simhash.near_duplicates(documents(rows)).collect()} == {(5, 2), (2, 2), (3, 2), (9, 9)}
