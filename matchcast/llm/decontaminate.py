@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 from matchcast.llm.common import byte_texts, drop_rows, map_arrow, settle, text_hash
 
 WINDOW = 8  # canonical words of a window
-LEAST_ITEM = 5  # items with fewer words are not searched for
-LITERAL = 5 / 8  # share of a window that is no placeholder
+LEAST_ITEM = 5  # items with fewer words are searched for literally
+LITERAL = 5 / 8  # share of a window with placeholders that is none
 ENOUGH = 13  # words of an item that must be covered,
 SHARE = 0.8  # or this share of a shorter item
 FILTER_BITS = 1 << 23  # of the filter that is sent to the scans: 1 MB, whatever the benchmark's size
@@ -145,19 +145,23 @@ def _windows(ids: np.ndarray, literal: np.ndarray, text: np.ndarray, size: int,
 def template_windows(texts: list[bytes], sizes: list[int], wanted: np.ndarray | None) -> Iterator[tuple]:
     """``(text, place, size, gram, canon, slots)`` of each window, if the filter ``wanted`` has its hash.
 
-    Windows come in two forms, with names as placeholders and as words, where these differ. ``canon`` is the
-    window's text and ``slots`` what its placeholders stand for.
+    Windows come in three forms, where these differ: with names as placeholders, with names as words, and
+    literally, numbers and units as words too. Shorter ones than ``LEAST_ITEM`` are literal alone. ``canon``
+    is the window's text and ``slots`` what its placeholders stand for.
     """
     words = cut_words(texts)
     first = np.searchsorted(words.text, np.arange(len(texts)))
-    names = np.concatenate(([0], np.cumsum(words.kind == NAME, dtype=np.int32)))
-    for named in (True, False):
-        kind = words.kind if named else np.where(words.kind == NAME, WORD, words.kind)
+    unnamed = np.where(words.kind == NAME, WORD, words.kind)
+    literal = np.zeros_like(words.kind)
+    for kind, before in ((words.kind, None), (unnamed, words.kind), (literal, unnamed)):
         ids = np.where(kind == WORD, words.hash, kind.astype(np.uint64))
+        turned = None if before is None else np.concatenate(([0], np.cumsum(kind != before, dtype=np.int32)))
         for size in sizes:
+            if size < LEAST_ITEM and kind is not literal:
+                continue
             at = np.arange(max(len(ids) - size + 1, 0))
-            if not named:
-                at = at[names[at + size] > names[at]]
+            if turned is not None and size >= LEAST_ITEM:
+                at = at[turned[at + size] > turned[at]]
             at, gram = _windows(ids, kind == WORD, words.text, size, at)
             if wanted is not None:
                 bit = gram % np.uint64(FILTER_BITS)
@@ -240,12 +244,12 @@ def contaminated(
 
     Texts are read whole, in their own partitions; only windows that pass a filter of fixed size over
     the benchmark's windows are moved, and no window of the benchmark is lost by it. Null texts have
-    no words; items of fewer than ``LEAST_ITEM`` words are not searched for. ``h`` is the text's hash:
+    no words, and items without words cannot be found. A literal copy of any other item is. ``h`` is the text's hash:
     rows that share an id are told apart by it, rows equal in both are one. Empty tables give no rows.
     """
     types = f"item {benchmark.schema[item_col].dataType.simpleString()}, t string, words int"
     items = benchmark.select(F.col(item_col).alias("item"), F.col(item_text_col).alias("t"))
-    counted = settle(map_arrow(items, _count_words, types).filter(F.col("words") >= LEAST_ITEM))
+    counted = settle(map_arrow(items, _count_words, types).filter(F.col("words") > 0))
     sizes = sorted(r[0] for r in counted.select(F.least("words", F.lit(WINDOW))).distinct().collect())
     own = settle(_scan(counted, sizes, None).filter(F.col("size") == F.least("words", F.lit(WINDOW))))
     rows = docs.select(F.col(id_col).alias("id"), text_hash(text_col).alias("h"), F.col(text_col).alias("t"))

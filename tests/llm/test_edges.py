@@ -93,6 +93,15 @@ def test_decontamination_slots(spark, documents):
     assert decontaminate.contaminated(documents(rows), items.limit(0)).count() == 0
 
 
+def test_decontamination_finds_literal_copies_of_any_item(spark, documents):
+    texts = ["What is 12 + 7 - 3 * 45 / 9 + 88?", "Solve 3 x + 5 = 20 for x", "2 + 2", "one two", "17", "?!",
+             "Add 3 4 5 6 7 8 9 10 11 12 13 14 15 16 17 18 19 and then give the sum of them to Bob"]
+    items = spark.createDataFrame(list(enumerate(texts)), "item_id long, text string")
+    rows = [(10 + i, f"So here it is: {t} That was all.") for i, t in enumerate(texts)] + [(30, "What is 1 + 2 - 3 * 4 / 5 + 6?")]
+    found = {(r.id, r.item): r.changed for r in decontaminate.contaminated(documents(rows), items).collect()}
+    assert found == {(10, 0): False, (11, 1): False, (12, 2): False, (13, 3): False, (14, 4): False, (16, 6): False, (16, 4): False}
+
+
 def test_decontamination_drops_torn_slots(spark, documents):
     item = "Take 5 stones then drop 5 stones then lift 5 stones then hide 5 stones"
     items = spark.createDataFrame([(1, item)], "item_id long, text string")
