@@ -15,10 +15,6 @@ from matchcast.plans.prepare import LABEL, Prepared, prepare_train_test
 from matchcast.sources import readers
 from matchcast.sources.games import load_games, read
 
-FOREST = {"n_estimators": 20, "max_depth": 5}
-BOOSTING = {"n_estimators": 20, "max_depth": 3}
-NETWORK = {"hidden_layer_sizes": (16,), "max_iter": 60}
-
 
 def _prepared(spark, sf_dir) -> Prepared:
     return prepare_train_test(load_games(spark, sf_dir))
@@ -69,33 +65,34 @@ def rank_features(spark, sf_dir):
 @registered
 def rfe(spark, sf_dir):
     prepared = _prepared(spark, sf_dir)
-    return selection.eliminate_features(
-        prepared.train, prepared.features, LABEL, 30, "random_forest", {"n_estimators": 5, "max_depth": 3}
-    )
+    return selection.eliminate_features(prepared.train, prepared.features, LABEL)
 
 
 @registered
 def rfe_linear(spark, sf_dir):
     prepared = _prepared(spark, sf_dir)
-    keep = len(prepared.features) - 3
-    return selection.eliminate_features(
-        prepared.train, prepared.features, LABEL, keep, "linear_svm", {"max_iter": 20}
-    )
+    return selection.eliminate_features(prepared.train, prepared.features, LABEL, name="linear_svm")
+
+
+@registered
+def analyse_features(spark, sf_dir):
+    """Features ranked by mutual information and by elimination down to ten."""
+    by_information, eliminated = experiment.analyse_features(_prepared(spark, sf_dir))
+    ranked = by_information.select(F.lit("mutual_information").alias("method"), "feature", "rank")
+    return ranked.unionByName(eliminated.select(F.lit("elimination").alias("method"), "feature", "rank"))
 
 
 @registered
 def feature_importance(spark, sf_dir):
     prepared = _prepared(spark, sf_dir)
-    fitted = learners.fit_classifier(prepared.train, prepared.features, LABEL, "random_forest", FOREST)
+    fitted = learners.fit_classifier(prepared.train, prepared.features, LABEL, "random_forest")
     return learners.feature_importance(spark, fitted)
 
 
 @registered
 def stability(spark, sf_dir):
     prepared = _prepared(spark, sf_dir)
-    return selection.importance_stability(
-        prepared.train, prepared.features, LABEL, "random_forest", {"n_estimators": 5, "max_depth": 4}, 5
-    )
+    return selection.importance_stability(prepared.train, prepared.features, LABEL)
 
 
 # --- one model at a time ---------------------------------------------------------------------
@@ -114,17 +111,17 @@ def lr_scores(spark, sf_dir):
 
 @registered
 def rf_scores(spark, sf_dir):
-    return _test_scores(spark, sf_dir, "random_forest", FOREST)
+    return _test_scores(spark, sf_dir, "random_forest", {})
 
 
 @registered
 def gbt_scores(spark, sf_dir):
-    return _test_scores(spark, sf_dir, "gradient_boosting", BOOSTING)
+    return _test_scores(spark, sf_dir, "gradient_boosting", {})
 
 
 @registered
 def mlp_scores(spark, sf_dir):
-    return _test_scores(spark, sf_dir, "mlp", NETWORK)
+    return _test_scores(spark, sf_dir, "mlp", {})
 
 
 @registered
@@ -136,7 +133,7 @@ def nb_scores(spark, sf_dir):
 
 @registered
 def svc_scores(spark, sf_dir):
-    return _test_scores(spark, sf_dir, "linear_svm", {"max_iter": 100})
+    return _test_scores(spark, sf_dir, "linear_svm", {})
 
 
 # --- neighbours and votes --------------------------------------------------------------------
@@ -197,7 +194,7 @@ def voting_ensemble(spark, sf_dir):
 @registered
 def stack(spark, sf_dir):
     prepared = _prepared(spark, sf_dir)
-    models = [("naive_bayes", {}), ("random_forest", {"n_estimators": 5, "max_depth": 4})]
+    models = [("naive_bayes", {}), ("random_forest", {})]
     fitted = ensembles.fit_stacking(prepared.train, prepared.features, models, LABEL)
     return fitted.score(prepared.test).select("game_id", LABEL, "p")
 
@@ -234,26 +231,18 @@ def calibrate(spark, sf_dir):
 @registered
 def grid_search(spark, sf_dir):
     prepared = _prepared(spark, sf_dir)
-    space = {"n_estimators": [5, 10], "max_depth": [3, 5]}
-    found = tuning.grid_search(prepared.train, prepared.features, space, label=LABEL, name="random_forest")
+    found = tuning.grid_search(prepared.train, prepared.features, label=LABEL, name="random_forest")
     return found.candidates
 
 
 @registered
 def random_search(spark, sf_dir):
     prepared = _prepared(spark, sf_dir)
-    space = {"n_estimators": [5, 10, 15], "max_depth": [2, 3, 5], "min_samples_leaf": [1, 2, 4]}
-    found = tuning.random_search(
-        prepared.train, prepared.features, space, 3, label=LABEL, name="random_forest"
-    )
+    found = tuning.random_search(prepared.train, prepared.features, label=LABEL, name="random_forest")
     return found.candidates
 
 
-MODELS = {
-    "naive_bayes": ("naive_bayes", {}),
-    "random_forest": ("random_forest", FOREST),
-    "logistic_regression": ("logistic_regression", {}),
-}
+MODELS = experiment.recommended_models() | {name: (name, {}) for name in ("naive_bayes", "knn")}
 
 
 @registered
@@ -336,9 +325,9 @@ def nightly(spark, sf_dir):
 
 @registered
 def train_models(spark, sf_dir):
-    """Several models trained, the best on the test rows first; one of them calibrated by folds."""
-    models = {"bayes": ("naive_bayes", {}), "linear": ("logistic_regression", {})}
-    return experiment.train_models(_prepared(spark, sf_dir), models, calibrate=True)[0]
+    """The recommended models searched, trained and calibrated by folds, the best on the test rows first."""
+    models = experiment.recommended_models() | {"naive_bayes": ("naive_bayes", {})}
+    return experiment.train_models(_prepared(spark, sf_dir), models, "random", calibrate=True)[0]
 
 
 # --- sampling --------------------------------------------------------------------------------

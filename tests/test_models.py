@@ -344,3 +344,46 @@ def test_fewer_blocks_are_met_per_row_as_clusters_fill(spark):
 
     small, large = share(400), share(6400)
     assert large < 0.9 * small
+
+
+def test_registered_queries_ask_for_the_whole_job(monkeypatch):
+    from types import SimpleNamespace
+
+    from matchcast.operators import ensembles, learners, selection, tuning
+    from matchcast.plans import catalogue_models as c
+    from matchcast.plans import experiment
+
+    class Asked(Exception):
+        pass
+
+    def ask(*args, **named):
+        raise Asked(args, named)
+
+    monkeypatch.setattr(c, "_prepared", lambda spark, sf_dir: SimpleNamespace(train="train", features=["f"], test="test"))
+    monkeypatch.setattr(c, "load_games", lambda spark, sf_dir: "games")
+    monkeypatch.setattr(c, "_scratch", lambda spark, name: name)
+    wanted = [
+        (selection, "eliminate_features", {"rfe": (), "rfe_linear": ()}, 3),
+        (selection, "importance_stability", {"stability": ()}, 3),
+        (learners, "fit_classifier", {"feature_importance": ("random_forest",), "rf_scores": ("random_forest", {}), "gbt_scores": ("gradient_boosting", {}),
+                                      "mlp_scores": ("mlp", {}), "svc_scores": ("linear_svm", {})}, 3),
+        (tuning, "grid_search", {"grid_search": ()}, 2),
+        (tuning, "random_search", {"random_search": ()}, 2),
+        (ensembles, "fit_stacking", {"stack": ([("naive_bayes", {}), ("random_forest", {})], "label")}, 2),
+        (experiment, "compare_models", {"compare_models": (c.MODELS,)}, 1),
+        (experiment, "run_experiment", {"experiment_verdict": (c.MODELS, "experiment")}, 1),
+    ]
+    for module, name, queries, skipped in wanted:
+        monkeypatch.setattr(module, name, ask)
+        for query, rest in queries.items():
+            with pytest.raises(Asked) as asked:
+                getattr(c, query)(None, None)
+            args, named = asked.value.args
+            assert args[skipped:] == tuple(c.LABEL if x == "label" else x for x in rest), query
+            assert set(named) <= {"name", "label", "financial"}, query
+    assert {*learners.RECOMMENDED, "naive_bayes", "knn"} <= set(c.MODELS) and not any(p for _, p in c.MODELS.values())
+    monkeypatch.setattr(experiment, "train_models", ask)
+    with pytest.raises(Asked) as asked:
+        c.train_models(None, None)
+    assert asked.value.args[0][2] == "random"
+    assert "analyse_features" in c.__dict__
