@@ -116,6 +116,7 @@ def _with_roots(rows: DataFrame, nodes: DataFrame, fp: str, links: DataFrame) ->
 COMMON_SHARE = 64  # one document in so many is looked at to tell which shingles are common
 COMMON_MOST = 1 << 17  # common shingles that are told to the scans: 1 MB, whatever the corpus's size
 EARLY = 6  # the first shingles of a prefix, which make the chains of the first round
+SLOTS = 256  # of the counts that tell how much two sets can share at most
 
 
 def shingle_set(text: bytes, shingle: int = 5) -> np.ndarray:
@@ -153,8 +154,31 @@ def _common(rows: DataFrame, shingle: int) -> tuple[np.ndarray, np.ndarray, np.n
     return grams[order], (len(grams) - np.arange(len(grams)))[order], hot
 
 
+def slot_counts(grams: np.ndarray) -> bytes:
+    """How many of the hashes fall to each slot, a byte each; 255 stands for that or more."""
+    return np.minimum(np.bincount((grams % np.uint64(SLOTS)).astype(np.int64), minlength=SLOTS), 255).astype(np.uint8).tobytes()
+
+
+def _possible(pairs: DataFrame, nodes: DataFrame, similarity: float) -> DataFrame:
+    """``pairs`` without those whose counts by slot rule out that they share enough."""
+    told = [nodes.select(F.col("node").alias(c), F.col("n").alias(f"n{c}"), F.col("slots").alias(f"s{c}")) for c in "ab"]
+    both = pairs.join(told[0], "a").join(told[1], "b").select("a", "b", "na", "nb", "sa", "sb")
+
+    def run(batches):
+        for batch in batches:
+            x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, SLOTS) for c in ("sa", "sb"))
+            least = np.minimum(x, y)
+            most = least.sum(axis=1, dtype=np.int64)
+            sizes = sum(batch.column(c).to_numpy().astype(np.int64) for c in ("na", "nb"))
+            kept = (most * (1 + similarity) >= similarity * sizes - 1e-9) | (least == 255).any(axis=1)
+            yield batch.select(["a", "b"]).filter(pa.array(kept))
+
+    return settle(map_arrow(both, run, pairs.schema))
+
+
 def _verified(pairs: DataFrame, nodes: DataFrame, rows: DataFrame, similarity: float, shingle: int) -> DataFrame:
     """Those of ``(a, b)`` whose sets of shingles have at least the similarity, read again from the texts."""
+    pairs = _possible(pairs, nodes, similarity)
     ends = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
     wanted = nodes.join(ends, "node").select(F.col("node").alias("id"), "h")
     texts = rows.join(wanted, ["id", "h"], "left_semi").select("id", "t")
@@ -177,7 +201,7 @@ def _verified(pairs: DataFrame, nodes: DataFrame, rows: DataFrame, similarity: f
 
 
 def set_links(nodes: DataFrame, rows: DataFrame, similarity: float, shingle: int) -> DataFrame:
-    """``(a, b)``: nodes ``(node, h, n, prefix, hot)`` whose sets have at least this similarity, enough to connect all that have.
+    """``(a, b)``: nodes ``(node, h, n, prefix, hot, slots)`` whose sets have at least this similarity, enough to connect all that have.
 
     With all shingles in one order, two such sets share one among the first ``n - ceil(similarity * n) + 1``
     of either, and behind the first that they share either has as many as must be common: pairs are
@@ -235,26 +259,27 @@ def similar_documents(docs: DataFrame, similarity: float = 0.8, shingle: int = 5
     def run(batches):
         order, hot = shared.value
         for batch in batches:
-            marks, sizes, prefixes, hots = [], [], [], []
+            marks, sizes, prefixes, hots, slots = [], [], [], [], []
             for text in byte_texts(batch.column("t")):
                 grams = shingle_set(text, shingle)
                 marks.append(np.frombuffer(xxhash.xxh3_128_digest(grams.tobytes()), np.int64))
                 sizes.append(len(grams))
+                slots.append(slot_counts(grams))
                 kept = len(grams) - math.ceil(similarity * len(grams) - 1e-9) + 1 if len(grams) else 0
                 prefix = rare_first(grams, *order)[:kept]
                 hots.append(int(np.isin(prefix, hot).sum()))
                 prefixes.append(prefix.view(np.int64))
             longs = pa.list_(pa.int64())
-            columns = [pa.array(marks, longs), pa.array(sizes, pa.int32()), pa.array(prefixes, longs), pa.array(hots, pa.int32())]
-            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("h"), *columns], ["id", "h", "words", "size", "prefix", "hot"])
+            columns = [pa.array(marks, longs), pa.array(sizes, pa.int32()), pa.array(prefixes, longs), pa.array(hots, pa.int32()), pa.array(slots, pa.binary())]
+            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("h"), *columns], ["id", "h", "words", "size", "prefix", "hot", "slots"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    printed = settle(map_arrow(rows, run, f"id {kind}, h long, words array<long>, size int, prefix array<long>, hot int"))
+    printed = settle(map_arrow(rows, run, f"id {kind}, h long, words array<long>, size int, prefix array<long>, hot int, slots binary"))
     first = F.min(F.when(F.col("id").isNotNull(), F.struct("id", "h"))).alias("first")
-    same = [F.first(c).alias(c) for c in ("size", "prefix", "hot")]
+    same = [F.first(c).alias(c) for c in ("size", "prefix", "hot", "slots")]
     whole = printed.groupBy("words").agg(first, F.count("*").alias("n"), *same)
-    whole = settle(whole.select("words", F.col("first.id").alias("node"), F.col("first.h").alias("h"), "n", "size", "prefix", "hot"))
-    sets = whole.filter("node IS NOT NULL").select("node", "h", F.col("size").alias("n"), "prefix", "hot")
+    whole = settle(whole.select("words", F.col("first.id").alias("node"), F.col("first.h").alias("h"), "n", "size", "prefix", "hot", "slots"))
+    sets = whole.filter("node IS NOT NULL").select("node", "h", F.col("size").alias("n"), "prefix", "hot", "slots")
     links = set_links(sets, rows, similarity, shingle)
     return _with_roots(printed.select("id", "h", "words"), whole.select("words", "node", "n"), "words", links)
 
