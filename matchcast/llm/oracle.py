@@ -7,7 +7,7 @@ the corpus); tests/llm compare these with brute force.
 
 from __future__ import annotations
 
-from matchcast.llm import chat, licenses, mixing
+from matchcast.llm import centroids, chat, licenses, merkle, mixing
 
 
 def _templates() -> str:
@@ -120,10 +120,113 @@ FROM d JOIN split ON d.source IS NOT DISTINCT FROM split.source
 JOIN drawn ON d.source IS NOT DISTINCT FROM drawn.source AND d.place = drawn.place
 """
 
+TREE_LEVELS = 9  # enough for 8^9 leaves; a group that is down to one node stays as it is
+
+
+def _tree(name: str, nodes: str) -> str:
+    """CTEs ``{name}0`` ... of the levels (g, i, n, digest, l, r) above ``nodes(g, i, digest)``, l and r the run's other digests."""
+    run = f"PARTITION BY g, i // {merkle.ARITY}"
+    parts = []
+    for level in range(TREE_LEVELS + 1):
+        source = nodes if level == 0 else f"""(SELECT g, i // {merkle.ARITY} AS i,
+          any_value(CASE WHEN n = 1 THEN digest ELSE sha256(l || digest || r) END ORDER BY i) AS digest FROM {name}{level - 1} GROUP BY 1, 2)"""
+        parts.append(f"""{name}{level} AS MATERIALIZED (SELECT *, count(*) OVER (PARTITION BY g) AS n,
+      coalesce(string_agg(digest, '') OVER ({run} ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS l,
+      coalesce(string_agg(digest, '') OVER ({run} ORDER BY i ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS r
+      FROM {source})""")
+    return ",\n".join(parts)
+
+
+def _climbed(name: str, start: str, carried: str) -> str:
+    """CTEs that lead ``start(g, i, proof, folded, ...)`` up the levels of a tree."""
+    parts, before = [], start
+    for level in range(TREE_LEVELS):
+        parts.append(f"""{name}_up{level} AS (SELECT {carried}, s.g, s.i // {merkle.ARITY} AS i, proof || l || r AS proof,
+      CASE WHEN n = 1 THEN folded ELSE sha256(l || folded || r) END AS folded FROM {before} s JOIN {name}{level} t ON s.g = t.g AND s.i = t.i)""")
+        before = f"{name}_up{level}"
+    return ",\n".join(parts)
+
+
+def _leaf(text: str) -> str:
+    fields = [f"({text})" if c == "text" else f"{c}::VARCHAR" for c in merkle.FIELDS]
+    return "sha256(" + " || ".join(f"coalesce(strlen({f}) || ':' || {f}, '-')" for f in fields) + ")"
+
+
+CRC32 = """CASE WHEN doc_id IS NULL THEN NULL ELSE xor(list_reduce(list_prepend(4294967295::BIGINT,
+    list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+    lambda crc, b: xor(crc >> 8, crcs[(xor(crc, b) & 255) + 1])), 4294967295::BIGINT) END"""
+
+MERKLE = f"""
+WITH RECURSIVE steps AS (
+  SELECT i::BIGINT AS i, 0 AS step, i::BIGINT AS c FROM range(256) t(i)
+  UNION ALL SELECT i, step + 1, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END FROM steps WHERE step < 8),
+crc AS (SELECT list(c ORDER BY i) AS crcs FROM steps WHERE step = 8),
+leaves AS MATERIALIZED (
+  SELECT doc_id, coalesce('=' || lang, '') AS g, {_leaf("text")} AS digest,
+    CASE WHEN {CRC32} % 3 = 0 THEN {_leaf("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} END AS tampered
+  FROM documents, crc),
+placed AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, digest) - 1 AS i FROM leaves),
+{_tree("a", "(SELECT g, i, digest FROM placed)")},
+tops AS MATERIALIZED (SELECT '' AS g, row_number() OVER (ORDER BY g) - 1 AS i, digest, g AS lang FROM a{TREE_LEVELS}),
+{_tree("b", "(SELECT g, i, digest FROM tops)")},
+{_climbed("a", "(SELECT doc_id, digest AS leaf, g, i, '' AS proof, coalesce(tampered, digest) AS folded FROM placed)", "doc_id, leaf")},
+turned AS (
+  SELECT doc_id, leaf, t.digest AS subroot, t.g, t.i, proof, folded FROM a_up{TREE_LEVELS - 1} s JOIN tops t ON s.g = t.lang),
+{_climbed("b", "turned", "doc_id, leaf, subroot")}
+SELECT doc_id, leaf, subroot, r.digest AS root, sha256(proof) AS proof_sha256, folded AS folded_root, folded = r.digest AS verified
+FROM b_up{TREE_LEVELS - 1}, b{TREE_LEVELS} r
+"""
+
+
+def _rounds(rounds: int) -> str:
+    parts = []
+    for number in range(rounds + 1):
+        parts.append(f"""a{number} AS MATERIALIZED (
+  SELECT vec_id, v, arg_min(c, (d, c)) AS c, min(d) AS d FROM (
+    SELECT vec_id, n, v, c, list_sum(list_transform(list_zip(v, w), lambda p: (p[1] - p[2]) * (p[1] - p[2])))::BIGINT AS d FROM whole, c{number})
+  GROUP BY vec_id, n, v)""")
+        if number < rounds:
+            parts.append(f"""c{number + 1} AS MATERIALIZED (
+  SELECT o.c, coalesce(m.w, o.w) AS w FROM c{number} o LEFT JOIN (
+    SELECT c, list(q ORDER BY pos) AS w FROM (
+      SELECT c, pos, (sum(x) - ((sum(x) % count(*)) + count(*)) % count(*))::BIGINT // count(*) AS q
+      FROM (SELECT c, unnest(v) AS x, unnest(range(64)) AS pos FROM a{number}) GROUP BY c, pos) GROUP BY c) m ON o.c = m.c)""")
+    return ",\n".join(parts)
+
+
+CENTROIDS = f"""
+WITH whole AS MATERIALIZED (
+  SELECT vec_id, row_number() OVER () AS n, list_transform(embedding, lambda x: floor({centroids.SCALE} * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: isfinite(x))) = 64),
+c0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY sha256('2:' || vec_id), v) - 1 AS c, v AS w FROM whole QUALIFY c < 40),
+{_rounds(5)}
+SELECT vec_id, a.c::INTEGER AS cluster, d AS distance, sum(d) OVER (PARTITION BY a.c)::BIGINT AS cluster_inertia, sum(d) OVER ()::BIGINT AS inertia,
+  sha256(array_to_string(w, ',')) AS centroid_sha256
+FROM a5 a JOIN c5 USING (c)
+"""
+
+URL_FILTER = r"""
+WITH parts AS (
+  SELECT page_id, translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)([^?#]*)', 1),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)([^?#]*)', 2) AS path FROM pages),
+ruled AS (
+  SELECT *, CASE
+    WHEN ('.' || host).ends_with('.example.net') AND path.starts_with('/en/') THEN 'example.net/en/'
+    WHEN ('.' || host).ends_with('.example.com') AND path.starts_with('/de/') THEN 'example.com/de/'
+    WHEN ('.' || host).ends_with('.org') AND path.starts_with('/fr/') THEN 'org/fr/'
+    WHEN ('.' || host).ends_with('.net') AND path.starts_with('/') THEN 'net/' END AS rule FROM parts)
+SELECT page_id, host, path, rule, CASE WHEN rule IN ('net/', 'example.com/de/') THEN 'block' ELSE 'allow' END AS verdict FROM ruled
+"""
+
 ORACLE: dict[str, str] = {
     "op1_license_scan": LICENSE_SCAN,
     "op4_warc": WARC,
     "op6_exact_dedup": EXACT,
     "op8_chat": CHAT,
     "op10_mix": MIX,
+    "op11_merkle_manifest": MERKLE,
+    "op12_centroids": CENTROIDS,
+    "op13_url_filter": URL_FILTER,
 }

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from matchcast.llm import chat, decontaminate, exact, langid, licenses, mixing, pii, repeats, simhash, warc
+from matchcast.llm import centroids, chat, decontaminate, exact, langid, licenses, merkle, mixing, pii, repeats, simhash, urls, warc
 from matchcast.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -80,3 +80,30 @@ def op9_pii(spark, sf_dir):
 def op10_mix(spark, sf_dir):
     found = mixing.mix(table(spark, sf_dir, "documents"))
     return found.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
+
+
+@query
+def op11_merkle_manifest(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    lowered = [F.translate("text", urls.CAPITALS, urls.SMALL) if c == "text" else F.col(c) for c in merkle.FIELDS]
+    is_tampered = F.crc32(F.col("doc_id").cast("string")) % 3 == 0
+    found = merkle.manifest(docs, beside={"tampered": F.when(is_tampered, merkle.leaf_hash(lowered))})
+    folded = merkle.folded(F.coalesce("tampered", "leaf"), F.col("proof"))
+    digests = {"leaf": F.col("leaf"), "subroot": F.col("subroot"), "root": F.col("root"), "folded_root": folded, "proof_sha256": merkle.proof_hash(F.col("proof"))}
+    rows = found.select(F.col("id").alias("doc_id"), *(merkle.hex_text(v).alias(k) for k, v in digests.items()))
+    return rows.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+@query
+def op12_centroids(spark, sf_dir):
+    found = centroids.cluster(table(spark, sf_dir, "embeddings"))
+    return found.select(F.col("id").alias("vec_id"), "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256")
+
+
+URL_BLOCK, URL_ALLOW = ["net/", "example.com/de/"], ["example.net/en/", "org/fr/"]
+
+
+@query
+def op13_url_filter(spark, sf_dir):
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    return urls.judge(pages, urls.entries(spark, URL_BLOCK, URL_ALLOW)).drop("url")
