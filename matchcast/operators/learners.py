@@ -1,4 +1,4 @@
-"""Classifiers on Spark ML: defaults, search spaces, fitting, scoring, importance and storage."""
+"""Classifiers: defaults, search spaces, fitting, scoring, importance and storage."""
 
 from __future__ import annotations
 
@@ -13,19 +13,20 @@ from pyspark.ml import Model, PipelineModel
 from pyspark.ml.base import Estimator
 from pyspark.ml.classification import (
     GBTClassifier,
-    LinearSVC,
-    LogisticRegression,
     MultilayerPerceptronClassifier,
     NaiveBayes,
-    RandomForestClassifier,
 )
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
+from matchcast.operators.binning import Sample
+from matchcast.operators.forest import ForestModel, fit_forest
 from matchcast.operators.impute import FeatureState, Standardiser, fit_standardiser
 from matchcast.operators.knn import NeighbourModel
+from matchcast.operators.linear import LinearModel, fit_linear, problem_of
+from matchcast.schema import ROW_KEY
 
 PARALLEL_FITS = 4
 FEATURES, RAW, PROBABILITY, CLASS = "_features", "_raw", "_probability", "_class"
@@ -46,7 +47,6 @@ class Learner:
 DEEPEST = 30
 # Default parameters and search spaces per model. The network is trained by L-BFGS, which
 # has no learning rate, so none is offered.
-TOLERANCE = 1e-5
 LEARNERS: dict[str, Learner] = {
     "logistic_regression": Learner(
         {"C": 1.0, "penalty": "l2", "max_iter": 1000},
@@ -54,10 +54,11 @@ LEARNERS: dict[str, Learner] = {
         scaled=True,
     ),
     "random_forest": Learner(
-        {"n_estimators": 100, "max_depth": None, "min_samples_leaf": 1, "max_features": "sqrt"},
+        {"n_estimators": 100, "max_depth": None, "min_samples_split": 2, "min_samples_leaf": 1, "max_features": "sqrt"},
         {
             "n_estimators": [50, 100, 200, 300],
             "max_depth": [None, 5, 10, 15, 20],
+            "min_samples_split": [2, 5, 10],
             "min_samples_leaf": [1, 2, 4],
             "max_features": ["sqrt", "log2", None],
         },
@@ -103,6 +104,7 @@ LEARNERS: dict[str, Learner] = {
         probabilities=False,
     ),
 }
+LINEAR = ("logistic_regression", "linear_svm")
 # The models a comparison runs by default.
 RECOMMENDED = ["logistic_regression", "random_forest", "gradient_boosting", "mlp"]
 
@@ -128,35 +130,17 @@ def full_params(name: str, params: dict[str, Any]) -> dict[str, Any]:
 
 
 def build(
-    name: str, params: dict[str, Any], rows: int, width: int, label: str, weight: str | None, seed: int
+    name: str, params: dict[str, Any], width: int, label: str, weight: str | None, seed: int
 ) -> Estimator:
-    """The Spark ML estimator for a model and its parameters."""
+    """The Spark ML estimator of boosting, a network or naive Bayes and its parameters."""
     p = full_params(name, params)
-    columns = {"featuresCol": FEATURES, "labelCol": label, "predictionCol": CLASS}
-    with_probability = columns | {"probabilityCol": PROBABILITY, "rawPredictionCol": RAW}
+    with_probability = {
+        "featuresCol": FEATURES, "labelCol": label, "predictionCol": CLASS, "probabilityCol": PROBABILITY, "rawPredictionCol": RAW
+    }
     if weight is not None:
         if not learner(name).weights:
             raise ValueError(f"{name} cannot weight rows")
-        columns["weightCol"] = with_probability["weightCol"] = weight
-    if name == "logistic_regression":
-        # The penalty is stated per row here, while C weighs the sum of the rows' losses.
-        return LogisticRegression(
-            regParam=1.0 / (p["C"] * max(rows, 1)),
-            elasticNetParam=1.0 if p["penalty"] == "l1" else 0.0,
-            maxIter=p["max_iter"],
-            tol=TOLERANCE,
-            standardization=False,
-            **with_probability,
-        )
-    if name == "random_forest":
-        return RandomForestClassifier(
-            numTrees=p["n_estimators"],
-            maxDepth=_depth(p["max_depth"]),
-            minInstancesPerNode=p["min_samples_leaf"],
-            featureSubsetStrategy=p["max_features"] or "all",
-            seed=seed,
-            **with_probability,
-        )
+        with_probability["weightCol"] = weight
     if name == "gradient_boosting":
         return GBTClassifier(
             maxIter=p["n_estimators"],
@@ -174,25 +158,20 @@ def build(
             seed=seed,
             **with_probability,
         )
-    if name == "naive_bayes":
-        return NaiveBayes(modelType="gaussian", **with_probability)
-    return LinearSVC(
-        regParam=1.0 / (p["C"] * max(rows, 1)),
-        maxIter=p["max_iter"],
-        tol=TOLERANCE,
-        standardization=False,
-        rawPredictionCol=RAW,
-        **columns,
-    )
+    return NaiveBayes(modelType="gaussian", **with_probability)
+
+
+# Models that are no Spark ML ones: they score the assembled vectors by themselves.
+OWN = (NeighbourModel, ForestModel, LinearModel)
 
 
 @dataclass
 class Classifier:
-    """A fitted model: which columns it reads, how it scales them, and the Spark ML model."""
+    """A fitted model: which columns it reads, how it scales them, and the model itself."""
 
     name: str
     features: list[str]
-    model: Model | NeighbourModel
+    model: Model | NeighbourModel | ForestModel | LinearModel
     scaler: Standardiser | None = None
     params: dict[str, Any] = field(default_factory=dict)
 
@@ -206,7 +185,7 @@ class Classifier:
             wide = _assemble(df, self.features, self.scaler)
         else:
             wide = df.withColumn(FEATURES, F.col(vector))
-        if isinstance(self.model, NeighbourModel):
+        if isinstance(self.model, OWN):
             return self.model.transform(wide, FEATURES, PROBABILITY, CLASS)
         return self.model.transform(wide)
 
@@ -262,10 +241,18 @@ def fit_classifier(
 ) -> Classifier:
     """Fit one model; scaling is learned from these very rows if the model asks for it."""
     params = params or {}
+    key = [ROW_KEY] if ROW_KEY in train.columns and ROW_KEY not in features else []
     narrow = train.select(
-        *features, F.col(label).cast("double").alias(label), *([weight] if weight else [])
+        *features, F.col(label).cast("double").alias(label), *([weight] if weight else []), *key
     )
     scaled = learner(name).scaled if scale is None else scale
+    if name == "random_forest":
+        model = fit_forest(narrow, features, label, full_params(name, params), weight, seed)
+        return Classifier(name, list(features), model, None, params)
+    if name in LINEAR:
+        problem = problem_of(name, full_params(name, params), scaled=scaled, sample=Sample(weight=0 if weight else None))
+        model, scaler = fit_linear(narrow, features, label, problem, weight)
+        return Classifier(name, list(features), model, scaler, params)
     scaler = fit_standardiser(narrow, features, weight) if scaled else None
     if name == "knn":
         if weight is not None:
@@ -273,9 +260,7 @@ def fit_classifier(
         vectors = _assemble(narrow, features, scaler).select(FEATURES, label)
         model = NeighbourModel.fit(vectors, FEATURES, label, full_params(name, params))
         return Classifier(name, list(features), model, scaler, params)
-    drawn = F.count(F.lit(1)) if weight is None else F.sum(weight)
-    size = narrow.agg(F.count(F.lit(1)).alias("rows"), drawn.alias("drawn")).first()
-    estimator = build(name, params, int(size["drawn"] or 0), len(features), label, weight, seed)
+    estimator = build(name, params, len(features), label, weight, seed)
     vectors = _assemble(narrow, features, scaler).select(
         FEATURES, label, *([weight] if weight else [])
     )
@@ -300,6 +285,8 @@ def in_parallel(spark: SparkSession, work, items: list, width: int = PARALLEL_FI
 def importance_values(classifier: Classifier) -> list[float]:
     """Importance per feature: of the trees, or the size of the linear coefficients."""
     model = classifier.model
+    if isinstance(model, ForestModel):
+        return list(model.importances)
     if hasattr(model, "featureImportances"):
         return [float(v) for v in model.featureImportances.toArray()]
     if hasattr(model, "coefficients"):
@@ -329,6 +316,8 @@ def save_classifier(
     """Write the model, its columns, medians and scaling, metrics and parameters below ``path``."""
     if isinstance(classifier.model, NeighbourModel):
         classifier.model.save(f"{path}/model")
+    elif isinstance(classifier.model, OWN):
+        classifier.model.save(f"{path}/model", spark)
     else:
         PipelineModel(stages=[classifier.model]).write().overwrite().save(f"{path}/model")
     scaler = classifier.scaler
@@ -390,6 +379,9 @@ def load_classifier(spark: SparkSession, path: str) -> Artifacts:
     params = json.loads(summary["params"])
     if summary["name"] == "knn":
         model = NeighbourModel.load(spark, f"{path}/model", full_params("knn", params))
+    elif summary["name"] == "random_forest" or summary["name"] in LINEAR:
+        kind = ForestModel if summary["name"] == "random_forest" else LinearModel
+        model = kind.load(spark, f"{path}/model")
     else:
         model = PipelineModel.load(f"{path}/model").stages[0]
     features = [r["column"] for r in sorted((r for r in rows if r["feature"] is not None), key=lambda r: r["feature"])]

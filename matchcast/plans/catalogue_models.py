@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from matchcast.functions.derive import derive_features
 from matchcast.functions.encode import encode_target, numeric_columns
-from matchcast.operators import ensembles, knn, learners, sampling, selection, tuning
+from matchcast.operators import bayes, binning, ensembles, forest, information, isotonic, knn, learners, sampling, selection, tuning
 from matchcast.operators.splits import temporal_split
 from matchcast.plans import experiment, scoring
 from matchcast.plans.catalogue import _first_date, _scores, _scratch, registered, rounded
@@ -53,6 +53,13 @@ def mutual_info(spark, sf_dir):
     return table.select("feature", *rounded("score"))
 
 
+@registered
+def neighbour_info(spark, sf_dir):
+    prepared = _prepared(spark, sf_dir)
+    table = information.neighbour_information(prepared.train, prepared.features, LABEL)
+    return table.select("feature", *rounded("score"))
+
+
 @registered
 def rank_features(spark, sf_dir):
     prepared = _prepared(spark, sf_dir)
@@ -114,6 +121,19 @@ def rf_scores(spark, sf_dir):
     return _test_scores(spark, sf_dir, "random_forest", {})
 
 
+@registered
+def forest_levels(spark, sf_dir):
+    """The splits of the first two levels of a tree over all rows and features, from the shared histograms."""
+    prepared = _prepared(spark, sf_dir)
+    edges = binning.exact_edges(prepared.train, prepared.features)
+    blocks = binning.binned_blocks(prepared.train, prepared.features, LABEL, edges=edges)
+    pool = forest.grow_pool(blocks, [forest.Shape(trees=1, depth=2, bootstrap=False)], gather=0)
+    blocks.release()
+    rows = [(a["node"], prepared.features[a["feature"]], a["split"], a["decrease"]) for a in pool.above if "feature" in a]
+    table = spark.createDataFrame(rows, "node long, feature string, bin int, decrease double")
+    return table.select("node", "feature", "bin", *rounded("decrease", digits=4))
+
+
 @registered
 def gbt_scores(spark, sf_dir):
     return _test_scores(spark, sf_dir, "gradient_boosting", {})
@@ -218,6 +238,14 @@ def bootstrap_majority(spark, sf_dir):
     return voted.select("game_id", LABEL, "prediction")
 
 
+@registered
+def bootstrap_logistic(spark, sf_dir):
+    """The class that most of 100 logistic regressions give, each fitted on a bootstrap sample."""
+    prepared = _prepared(spark, sf_dir)
+    fitted = ensembles.fit_bagging(prepared.train, prepared.features, LABEL, "logistic_regression", n_estimators=100)
+    return ensembles.bootstrap_majority(prepared.test, fitted.members).select("game_id", LABEL, "prediction")
+
+
 @registered
 def calibrate(spark, sf_dir):
     prepared = _prepared(spark, sf_dir)
@@ -225,13 +253,30 @@ def calibrate(spark, sf_dir):
     return fitted.score(prepared.test).select("game_id", LABEL, "p")
 
 
+@registered
+def isotonic_curve(spark, sf_dir):
+    """The calibrated value of each score, to three digits, of the balanced model."""
+    rows = _scores(spark, sf_dir).where("model = 'balanced'").withColumn("score", F.round("p", 3))
+    weighted = isotonic.points(rows, "score", "y")
+    curve = isotonic.fit_curve(weighted)
+    return curve.apply(weighted, "score", "calibrated").select("score", *rounded("calibrated"))
+
+
+@registered
+def bayes_out_of_fold(spark, sf_dir):
+    """Each training game's probability by naive Bayes over the other folds."""
+    prepared = _prepared(spark, sf_dir)
+    scored = bayes.out_of_fold(prepared.train, prepared.features, LABEL, "fold")
+    return scored.select("game_id", LABEL, "fold", *rounded("p", digits=4))
+
+
 # --- search, comparison, scoring jobs --------------------------------------------------------
 
 
 @registered
 def grid_search(spark, sf_dir):
     prepared = _prepared(spark, sf_dir)
-    found = tuning.grid_search(prepared.train, prepared.features, label=LABEL, name="random_forest")
+    found = tuning.grid_search(prepared.train, prepared.features, label=LABEL)
     return found.candidates
 
 
@@ -348,6 +393,29 @@ def bootstrap_sizes(spark, sf_dir):
     )
 
 
+@registered
+def bootstrap_exact(spark, sf_dir):
+    games = load_games(spark, sf_dir).select("game_id")
+    return sampling.exact_bootstrap(games, 3).select("game_id", "iteration", "weight")
+
+
+@registered
+def bootstrap_exact_sizes(spark, sf_dir):
+    games = load_games(spark, sf_dir).select("game_id", "home_team_win_pct")
+    drawn = sampling.repeat_rows(sampling.exact_bootstrap(games, 10))
+    return drawn.groupBy("iteration").agg(
+        F.count("*").alias("n"), F.round(F.avg("home_team_win_pct"), 6).alias("mean_win_pct")
+    )
+
+
+@registered
+def augment_exact(spark, sf_dir):
+    """How often each game is copied, of exactly half as many copies as there are games, and what the copies keep."""
+    grown = sampling.augment(load_games(spark, sf_dir), exact=True)
+    copies = grown.where("is_synthetic").groupBy("game_id", "home_team_rank", "outcome").agg(F.count("*").alias("copies"))
+    return copies
+
+
 @registered
 def augment(spark, sf_dir):
     return sampling.augment(load_games(spark, sf_dir))

@@ -21,6 +21,7 @@ from matchcast.operators.learners import (
 )
 from matchcast.operators.selection import eliminate_features, mutual_information, rank_by_score
 from matchcast.operators.tuning import N_ITER, grid_search, random_search
+from matchcast.plans.ledger import Ledger
 from matchcast.plans.prepare import LABEL, Prepared, prepare_train_test
 from matchcast.sources.writers import export_csv
 
@@ -50,11 +51,13 @@ def compare_models(
     seed: int = 42,
     fold: str = "fold",
     expanding: bool = True,
+    ledger: str | None = None,
 ) -> Comparison:
     """Validate every model on every fold, refit on all training rows, score the test rows.
 
     All scores go into one long table, so the metrics of every model and fold are one job. With
-    ``expanding`` a fold is trained on earlier rows only, otherwise on all other folds.
+    ``expanding`` a fold is trained on earlier rows only, otherwise on all other folds. ``ledger`` names a folder in which
+    each fit's result stays: a run that was cut off and is started again fits what is left.
     """
     features = prepared.features
     rows = prepared.rows.select("game_id", *features, LABEL, fold, "is_test").persist()
@@ -66,17 +69,26 @@ def compare_models(
             "game_id", F.col(LABEL).cast("int").alias("y"), "p",
         )
 
-    def one(task: tuple[str, int | None]) -> tuple[str, Classifier | None, DataFrame]:
-        model, number = task
+    def fit(model: str, number: int | None) -> tuple[Classifier, DataFrame]:
         name, params = models[model]
         if number is None:
             fitted = fit_classifier(train, features, LABEL, name, params, seed=seed)
-            return model, fitted, scored(fitted, rows.where("is_test"), RUN_TEST, model, 0)
+            return fitted, scored(fitted, rows.where("is_test"), RUN_TEST, model, 0)
         seen = F.col(fold) < number if expanding else F.col(fold) != number
         fitted = fit_classifier(train.where(seen), features, LABEL, name, params, seed=seed)
-        return model, None, scored(fitted, train.where(F.col(fold) == number), RUN_CV, model, number)
+        return fitted, scored(fitted, train.where(F.col(fold) == number), RUN_CV, model, number)
+
+    def one(task: tuple[str, int | None]) -> tuple[str, Classifier | None, DataFrame]:
+        model, number = task
+        if book is None:
+            fitted, part = fit(model, number)
+        else:
+            what = {"model": model, "learner": models[model][0], "params": models[model][1], "fold": number}
+            fitted, part = book.result(what, number is None, lambda: fit(model, number))
+        return model, fitted if number is None else None, part
 
     try:
+        book = Ledger(ledger, rows, features=features, seed=seed, expanding=expanding) if ledger else None
         tasks = [(m, i) for m in models for i in (*range(folds), None)]
         done = in_parallel(rows.sparkSession, one, tasks)
         scores = durable(reduce(DataFrame.unionByName, (s for _, _, s in done)))
@@ -232,9 +244,13 @@ def run_experiment(
     test_size: float = 0.2,
     seed: int = 42,
 ) -> tuple[Comparison, DataFrame]:
-    """Prepare, compare, tune the winner if asked, check readiness, write the results."""
+    """Prepare, compare, tune the winner if asked, check readiness, write the results.
+
+    With a folder to write to, every fit is put down there as soon as it is done, for a run that has to be started again.
+    """
     prepared = prepare_train_test(games, test_size, folds)
-    comparison = compare_models(prepared, models or recommended_models(), folds, seed)
+    ledger = f"{output_dir}/ledger" if output_dir else None
+    comparison = compare_models(prepared, models or recommended_models(), folds, seed, ledger=ledger)
     winner = comparison.best_name
     name, params = (models or recommended_models())[winner]
     model: Classifier | Calibrated = comparison.classifiers[winner]

@@ -428,11 +428,7 @@ ORACLE["rank_features"] = query(
               row_number() OVER (ORDER BY round(score, 6) DESC, feature) <= 15 AS kept FROM anova""",
 )
 # Edges are the values at ranks ceil(i n / 32); a value's bin is the number of distinct edges below it.
-ORACLE["mutual_info"] = query(
-    [
-        *TO_PREPARED,
-        STACKED,
-        """sorted AS (
+BINNED = """sorted AS (
              SELECT feature, x, label, row_number() OVER (PARTITION BY feature ORDER BY x) AS pos,
                     count(*) OVER (PARTITION BY feature) AS n
              FROM stacked
@@ -442,11 +438,16 @@ ORACLE["mutual_info"] = query(
              JOIN (SELECT unnest(range(1, 32)) AS i) q ON s.pos = greatest(ceil(q.i / 32e0 * s.n), 1)
            ),
            cells AS (
-             SELECT s.feature, s.label, count(e.edge) AS bin
+             SELECT s.feature, s.label, s.game_id, count(e.edge) AS bin
              FROM stacked s LEFT JOIN edges e ON e.feature = s.feature AND e.edge < s.x
              GROUP BY s.feature, s.label, s.game_id
-           ),
-           counts AS (SELECT feature, bin, label, count(*) * 1e0 AS n FROM cells GROUP BY feature, bin, label),
+           )"""
+ORACLE["mutual_info"] = query(
+    [
+        *TO_PREPARED,
+        STACKED,
+        BINNED,
+        """counts AS (SELECT feature, bin, label, count(*) * 1e0 AS n FROM cells GROUP BY feature, bin, label),
            shares AS (
              SELECT feature, n, sum(n) OVER (PARTITION BY feature) AS total,
                     sum(n) OVER (PARTITION BY feature, bin) AS in_bin,
@@ -458,6 +459,37 @@ ORACLE["mutual_info"] = query(
     " FROM shares GROUP BY feature",
 )
 
+
+def _level(cells: str, name: str) -> str:
+    """The best split of each node of ``cells(node, feature, place, bin, label)``: the lowest feature and bin of equal ones."""
+    return f"""{name}_sums AS (
+      SELECT node, feature, place, bin, sum(count(*)) OVER up AS nl, sum(sum(label)) OVER up AS yl,
+             sum(count(*)) OVER (PARTITION BY node, feature) AS n, sum(sum(label)) OVER (PARTITION BY node, feature) AS y
+      FROM {cells} GROUP BY node, feature, place, bin
+      WINDOW up AS (PARTITION BY node, feature ORDER BY bin ROWS UNBOUNDED PRECEDING)),
+    {name} AS (
+      SELECT node, feature, bin, CAST(yl * yl AS DOUBLE) / nl + CAST((y - yl) * (y - yl) AS DOUBLE) / (n - nl) - CAST(y * y AS DOUBLE) / n AS decrease
+      FROM {name}_sums WHERE nl < n AND y > 0 AND y < n
+      QUALIFY row_number() OVER (PARTITION BY node ORDER BY CAST(yl * yl AS DOUBLE) / nl + CAST((y - yl) * (y - yl) AS DOUBLE) / (n - nl) DESC, place, bin) = 1)"""
+
+
+_PLACES = ", ".join(f"('{c}', {i})" for i, c in enumerate(MODEL_FEATURES))
+ORACLE["forest_levels"] = query(
+    [
+        *TO_PREPARED,
+        STACKED,
+        BINNED,
+        f"places(feature, place) AS (VALUES {_PLACES})",
+        "placed AS (SELECT 1 AS node, c.*, p.place FROM cells c JOIN places p ON c.feature = p.feature)",
+        _level("placed", "root"),
+        "told AS (SELECT c.game_id, CASE WHEN c.bin > r.bin THEN 3 ELSE 2 END AS node FROM cells c JOIN root r ON c.feature = r.feature)",
+        "below AS (SELECT t.node, p.feature, p.place, p.bin, p.label FROM placed p JOIN told t ON p.game_id = t.game_id)",
+        _level("below", "second"),
+        "both_levels AS (SELECT * FROM root UNION ALL SELECT * FROM second)",
+    ],
+    "SELECT CAST(node AS BIGINT) AS node, feature, CAST(bin AS INTEGER) AS bin, round(decrease, 4) AS decrease FROM both_levels",
+)
+
 # --- neighbours and votes --------------------------------------------------------------------
 
 
@@ -643,3 +675,98 @@ ORACLE["win_probability"] = query(
                 + ((game_id % 25) / 100e0 - (game_id % 40) / 100e0) * 0.2e0))), 6) AS p
        FROM games""",
 )
+
+# --- calibration and folds -------------------------------------------------------------------
+
+# The least mean of what ends at or behind a score, the greatest of what begins at or before it.
+ORACLE["isotonic_curve"] = query(
+    [
+        *TO_SCORES,
+        """points AS (SELECT round(p, 3) AS score, sum(y) AS won, count(*) AS n FROM scores WHERE model = 'balanced' GROUP BY 1),
+           sums AS (SELECT score, row_number() OVER o AS k, sum(won) OVER o AS won, sum(n) OVER o AS n FROM points WINDOW o AS (ORDER BY score)),
+           means AS (SELECT j.k AS j, k.k, k.score, (k.won - coalesce(b.won, 0)) * 1e0 / (k.n - coalesce(b.n, 0)) AS mean
+                     FROM sums j JOIN sums k ON k.k >= j.k LEFT JOIN sums b ON b.k = j.k - 1),
+           least AS (SELECT score, k, min(mean) OVER (PARTITION BY j ORDER BY k DESC ROWS UNBOUNDED PRECEDING) AS mean FROM means)""",
+    ],
+    "SELECT score, round(max(mean), 6) AS calibrated FROM least GROUP BY score",
+)
+
+
+def _bayes_but_a_fold() -> list[str]:
+    """Naive Bayes with a sample per fold: all rows that are not in it."""
+    others = """SELECT t.game_id, f.fold AS i, 1 AS weight FROM prepared t
+                JOIN (SELECT DISTINCT fold FROM prepared WHERE NOT is_test) f ON f.fold IS DISTINCT FROM t.fold WHERE NOT t.is_test"""
+    return bayes("SELECT * FROM prepared WHERE NOT is_test", others)
+
+
+ORACLE["bayes_out_of_fold"] = query(
+    [*TO_PREPARED, *_bayes_but_a_fold()],
+    """SELECT p.game_id, p.label, p.i AS fold, round(p.p, 4) AS p FROM p JOIN prepared g ON g.game_id = p.game_id AND g.fold = p.i""",
+)
+
+
+def _exact_draws(iterations: int, share: str = "n") -> list[str]:
+    draws = mixed_hash(
+        f"(SELECT unnest(range((SELECT CAST({share} AS BIGINT) FROM (SELECT count(*) AS n FROM games)))) AS game_id), (SELECT unnest(range({iterations})) AS i)",
+        "i", "42 + i",
+    )
+    return [
+        "numbered AS (SELECT *, row_number() OVER (ORDER BY game_id) - 1 AS pos, count(*) OVER () AS n FROM games)",
+        f"""drawn AS (SELECT CAST(i AS INTEGER) AS iteration, least(CAST(floor({UNIFORM} * (SELECT count(*) FROM games)) AS BIGINT),
+                (SELECT count(*) FROM games) - 1) AS pos, count(*) AS weight FROM ({draws}) GROUP BY 1, 2)""",
+    ]
+
+
+ORACLE["bootstrap_exact"] = query(
+    [GAMES, *_exact_draws(3)],
+    "SELECT game_id, iteration, CAST(weight AS INTEGER) AS weight FROM drawn JOIN numbered USING (pos)",
+)
+ORACLE["bootstrap_exact_sizes"] = query(
+    [GAMES, *_exact_draws(10)],
+    """SELECT iteration, CAST(sum(weight) AS BIGINT) AS n, round(sum(weight * home_team_win_pct) / sum(weight), 6) AS mean_win_pct
+       FROM drawn JOIN numbered USING (pos) GROUP BY iteration""",
+)
+ORACLE["augment_exact"] = query(
+    [GAMES, *_exact_draws(1, "floor(n * 0.5)")],
+    "SELECT game_id, home_team_rank, outcome, weight AS copies FROM drawn JOIN numbered USING (pos)",
+)
+
+
+def _psi(m: str) -> str:
+    """psi of a number of at least 1, as a series six steps up."""
+    y = f"(({m}) + 6e0)"
+    back = " ".join(f"- 1e0 / (({m}) + {i}e0)" for i in range(6))
+    return f"(ln({y}) - 0.5e0 / {y} - 1e0 / (12e0 * {y} ** 2) + 1e0 / (120e0 * {y} ** 4) - 1e0 / (252e0 * {y} ** 6) + 1e0 / (240e0 * {y} ** 8) {back})"
+
+
+def _windows(k: int) -> str:
+    """The least window with ``k`` others of the class, as (reach, lower, upper)."""
+    found = []
+    for j in range(k + 1):
+        low, high = f"l{j}" if j else "x", f"r{k - j}" if k - j else "x"
+        reach = f"greatest(x - {low}, {high} - x)"
+        found.append(
+            f"CASE WHEN {low} IS NOT NULL AND {high} IS NOT NULL THEN {{'reach': {reach}, 'lower': CASE WHEN x - {low} = {reach} THEN {low} ELSE x - {reach} END,"
+            f" 'upper': CASE WHEN {high} - x = {reach} THEN {high} ELSE x + {reach} END}} END"
+        )
+    return f"list_min([w FOR w IN [{', '.join(found)}] IF w IS NOT NULL])"
+
+
+_SIDES = ", ".join(f"lag(x, {j}) OVER o AS l{j}, lead(x, {j}) OVER o AS r{j}" for j in (1, 2, 3))
+ORACLE["neighbour_info"] = query(
+    [
+        *TO_PREPARED,
+        STACKED,
+        f"""beside AS (SELECT *, count(*) OVER (PARTITION BY feature, label) AS of_class, {_SIDES}
+              FROM stacked WINDOW o AS (PARTITION BY feature, label ORDER BY x, game_id)),
+            bounded AS (SELECT feature, x, of_class, {_windows(3)} AS w FROM beside),
+            ranks AS (SELECT feature, x, sum(count(*)) OVER (PARTITION BY feature ORDER BY x) AS up_to FROM stacked GROUP BY feature, x),
+            uppers AS (SELECT b.*, coalesce(r.up_to, 0) AS below FROM bounded b ASOF LEFT JOIN ranks r ON r.feature = b.feature AND b.w.upper > r.x),
+            lowers AS (SELECT u.*, coalesce(r.up_to, 0) AS at_lower FROM uppers u ASOF LEFT JOIN ranks r ON r.feature = u.feature AND u.w.lower >= r.x),
+            same AS (SELECT l.*, r.up_to - coalesce(lag_up, 0) AS copies FROM lowers l
+                     JOIN (SELECT *, lag(up_to) OVER (PARTITION BY feature ORDER BY x) AS lag_up FROM ranks) r ON r.feature = l.feature AND r.x = l.x),
+            counted AS (SELECT feature, of_class, CASE WHEN w.reach = 0 THEN copies ELSE below - at_lower END AS m FROM same)""",
+    ],
+    f"""SELECT feature, round(greatest(any_value({_psi("total")}) + {_psi("3")} - avg({_psi("of_class")}) - avg({_psi("m")}), 0e0), 6) AS score
+        FROM (SELECT *, count(*) OVER (PARTITION BY feature) AS total FROM counted) GROUP BY feature""",
+)
