@@ -159,28 +159,37 @@ def slot_counts(grams: np.ndarray) -> bytes:
     return np.minimum(np.bincount((grams % np.uint64(SLOTS)).astype(np.int64), minlength=SLOTS), 255).astype(np.uint8).tobytes()
 
 
-def _possible(pairs: DataFrame, nodes: DataFrame, similarity: float) -> DataFrame:
-    """``pairs`` without those whose counts by slot rule out that they share enough."""
-    told = [nodes.select(F.col("node").alias(c), F.col("n").alias(f"n{c}"), F.col("slots").alias(f"s{c}")) for c in "ab"]
-    both = pairs.join(told[0], "a").join(told[1], "b").select("a", "b", "na", "nb", "sa", "sb")
+def _with_ends(pairs: DataFrame, told: DataFrame, columns: list[str]) -> DataFrame:
+    """``pairs`` with columns of both ends from ``told(node, pairs, ...)``; a node may stand in most pairs."""
+    for end, other in ("ab", "ba"):
+        one = told.select(F.col("node").alias(end), "pairs", *(F.col(c).alias(f"{c}_{end}") for c in columns))
+        pairs = join_groups(pairs, one, [end], "pairs", F.col(other), "inner").drop("pairs")
+    return pairs
+
+
+def _possible(pairs: DataFrame, nodes: DataFrame, similarity: float) -> tuple[DataFrame, DataFrame]:
+    """``pairs`` without those whose counts by slot rule out that they share enough, and their nodes with their number of pairs."""
+    ends = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node")))
+    told = settle(nodes.join(ends.groupBy("node").agg(F.count("*").alias("pairs")), "node").select("node", "h", "n", "slots", "pairs"))
+    both = _with_ends(pairs, told, ["n", "slots"]).select("a", "b", "n_a", "n_b", "slots_a", "slots_b")
 
     def run(batches):
         for batch in batches:
-            x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, SLOTS) for c in ("sa", "sb"))
+            x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, SLOTS) for c in ("slots_a", "slots_b"))
             least = np.minimum(x, y)
             most = least.sum(axis=1, dtype=np.int64)
-            sizes = sum(batch.column(c).to_numpy().astype(np.int64) for c in ("na", "nb"))
+            sizes = sum(batch.column(c).to_numpy().astype(np.int64) for c in ("n_a", "n_b"))
             kept = (most * (1 + similarity) >= similarity * sizes - 1e-9) | (least == 255).any(axis=1)
             yield batch.select(["a", "b"]).filter(pa.array(kept))
 
-    return settle(map_arrow(both, run, pairs.schema))
+    return settle(map_arrow(both, run, pairs.schema)), told
 
 
 def _verified(pairs: DataFrame, nodes: DataFrame, rows: DataFrame, similarity: float, shingle: int) -> DataFrame:
     """Those of ``(a, b)`` whose sets of shingles have at least the similarity, read again from the texts."""
-    pairs = _possible(pairs, nodes, similarity)
-    ends = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-    wanted = nodes.join(ends, "node").select(F.col("node").alias("id"), "h")
+    possible, told = _possible(pairs, nodes, similarity)
+    ends = possible.select(F.col("a").alias("node")).unionByName(possible.select(F.col("b").alias("node")))
+    wanted = settle(told.drop("pairs").join(ends.groupBy("node").agg(F.count("*").alias("pairs")), "node").select(F.col("node").alias("id"), "h", "pairs"))
     texts = rows.join(wanted, ["id", "h"], "left_semi").select("id", "t")
 
     def run(batches):
@@ -190,13 +199,13 @@ def _verified(pairs: DataFrame, nodes: DataFrame, rows: DataFrame, similarity: f
 
     kind = rows.schema["id"].dataType.simpleString()
     sets = settle(map_arrow(texts, run, f"node {kind}, grams array<long>"))
-    one = sets.groupBy("node").agg(F.first("grams").alias("grams"))  # a document may stand in several rows
-    both = pairs.join(one.select(F.col("node").alias("a"), F.col("grams").alias("ga")), "a").join(
-        one.select(F.col("node").alias("b"), F.col("grams").alias("gb")), "b"
-    )
-    same = F.size(F.array_intersect("ga", "gb"))
-    links = settle(both.filter(same * (1 + similarity) >= similarity * (F.size("ga") + F.size("gb")) - 1e-9).select("a", "b"))
-    release(sets)
+    first = sets.groupBy("node").agg(F.first("grams").alias("grams"))  # a document may stand in several rows
+    one = settle(first.join(wanted.select(F.col("id").alias("node"), "pairs"), "node"))
+    both = _with_ends(possible, one, ["grams"])
+    same = F.size(F.array_intersect("grams_a", "grams_b"))
+    links = settle(both.filter(same * (1 + similarity) >= similarity * (F.size("grams_a") + F.size("grams_b")) - 1e-9).select("a", "b"))
+    for done in (pairs, possible, told, wanted, sets, one):
+        release(done)
     return links
 
 
@@ -206,16 +215,18 @@ def set_links(nodes: DataFrame, rows: DataFrame, similarity: float, shingle: int
     With all shingles in one order, two such sets share one among the first ``n - ceil(similarity * n) + 1``
     of either, and behind the first that they share either has as many as must be common: pairs are
     compared if that holds at a shingle they share, and none that is alike is lost by it.
-    In a first round each node is held against the one before it on the first shingles of its prefix, which connects
-    most of what is alike. In a second, every two nodes that meet and are not yet connected are compared,
-    however many meet on a shingle. The last ``hot`` shingles of a prefix are chained in 64 parts, to be
-    dealt to many tasks; nodes that meet there without being chained are left to the second round.
+    In a first round each node is held against the one before it on the first shingles of its prefix, and on each of its shingles
+    against the node that has it foremost: of many copies of a text that is the one with the fewest changes, which most of
+    them are like. The last ``hot`` shingles of a prefix are dealt to many tasks in 64 parts, with a foremost node each;
+    a second round holds all that are not yet connected against the foremost of all. In the last, every two nodes that meet and are
+    still not connected are compared, however many meet on a shingle.
     """
     posted = nodes.select("node", "n", (F.size("prefix") - F.col("hot")).alias("hot"), F.posexplode("prefix").alias("place", "gram"))
     hot = F.col("place") >= F.col("hot")
     posted = posted.withColumn("salt", F.when(hot, F.pmod(F.xxhash64("node"), F.lit(SALTS)).cast("int")).otherwise(F.lit(-1))).drop("hot")
-    order = W.partitionBy("gram", "salt").orderBy("n", "node")
-    beside = posted.withColumns({"before": F.lag(F.struct("node", "n", "place")).over(order), "after": F.lead("node").over(order)})
+    order = W.partitionBy("gram", "salt").orderBy("place", "n", "node")
+    held = F.struct("node", "n", "place")
+    beside = posted.withColumns({"before": F.lag(held).over(order), "foremost": F.first(held).over(order), "after": F.lead("node").over(order)})
     met = settle(beside.filter("before IS NOT NULL OR after IS NOT NULL OR salt >= 0").drop("after", "salt"))
 
     def fit(x: str, y: str) -> Column:
@@ -226,14 +237,30 @@ def set_links(nodes: DataFrame, rows: DataFrame, similarity: float, shingle: int
         return [f(f"{x}.node", f"{y}.node").alias(c) for f, c in ((F.least, "a"), (F.greatest, "b"))]
 
     chained = met.alias("x").filter(F.col("place") < EARLY).filter(fit("x", "before")).select(*ends("x", "before"))
-    chains = _verified(settle(chained.distinct()), nodes, rows, similarity, shingle)
-    roots = settle(components(chains))
-    placed = met.drop("before").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    placed = settle(placed)
+    starred = met.alias("x").filter("x.node != foremost.node").filter(fit("x", "foremost")).select(*ends("x", "foremost"))
+    links = _verified(settle(chained.unionByName(starred).distinct()), nodes, rows, similarity, shingle)
+    bare = met.drop("before", "foremost")
+
+    def still_open(links: DataFrame) -> DataFrame:
+        """Postings of the shingles on which nodes of several roots meet, with their roots."""
+        roots = settle(components(links))
+        placed = settle(bare.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")))
+        several = placed.groupBy("gram").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low != high")
+        found = settle(placed.join(several.select("gram"), "gram", "left_semi"))
+        release(placed)
+        release(roots)
+        return found
+
+    open_ = still_open(links)
+    first = F.min(F.struct("place", "n", "node", "root")).alias("y")
+    heads = settle(open_.groupBy("gram").agg(first, F.count("*").alias("posts")))
+    across = join_groups(open_, heads, ["gram"], "posts", F.col("node"), "inner").alias("x").filter("x.root != y.root").filter(fit("x", "y"))
+    more = _verified(settle(across.select(*ends("x", "y")).distinct()), nodes, rows, similarity, shingle)
+    release(heads)
+    release(open_)
+    links = links.unionByName(more)
+    open_ = still_open(links)
     release(met)
-    several = placed.groupBy("gram").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low != high")
-    open_ = settle(placed.join(several.select("gram"), "gram", "left_semi"))
-    release(placed)
     heads = open_.groupBy("gram", "root").agg(F.max(F.col("n") - F.col("place")).alias("most"), F.min("n").alias("least"))
     x, y = heads.alias("x"), heads.alias("y")
     may = F.least("x.most", "y.most") * (1 + similarity) >= similarity * (F.col("x.least") + F.col("y.least")) - 1e-9
@@ -244,7 +271,7 @@ def set_links(nodes: DataFrame, rows: DataFrame, similarity: float, shingle: int
     pairs = left.join(right, (F.col("x.gram") == F.col("y.gram")) & (F.col("x.other") == F.col("y.root")) & fit("x", "y"))
     rest = _verified(settle(pairs.select(*ends("x", "y")).distinct()), nodes, rows, similarity, shingle)
     release(open_)
-    return chains.unionByName(rest)
+    return links.unionByName(rest)
 
 
 def similar_documents(docs: DataFrame, similarity: float = 0.8, shingle: int = 5, id_col="doc_id", text_col="text") -> DataFrame:
