@@ -9,6 +9,7 @@ from __future__ import annotations
 import math
 from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -64,6 +65,22 @@ def uniform(residue: Column, salt: int | Column) -> Column:
     return (mix(residue, salt).cast("double") + 0.5) / float(SPAN)
 
 
+def _round_of(residue: np.ndarray, salt: int) -> np.ndarray:
+    first, second = MULTIPLIERS
+    a = (residue + salt * 7919 + 1) * first % MODULUS
+    c = ((a * a + salt * 104729 + 12345) % MODULUS * second + residue) % MODULUS
+    return (c * c + c * first) % MODULUS
+
+
+def uniform_of(residue: np.ndarray, salt: int) -> np.ndarray:
+    """``uniform`` of whole numbers in numpy, digit for digit."""
+    low, high = residue % MODULUS, residue // MODULUS
+    one = _round_of(low, salt)
+    two = _round_of((one + high) % MODULUS, salt + 101)
+    mixed = two * MODULUS + _round_of((two + low) % MODULUS, salt + 211)
+    return (mixed.astype(np.float64) + 0.5) / float(SPAN)
+
+
 def hashed_uniform(key: Column, salt: int) -> Column:
     """A number in (0, 1) from Spark's own hash; shorter code where no other engine must agree."""
     return (F.pmod(F.xxhash64(key, F.lit(salt)), F.lit(SPAN)).cast("double") + 0.5) / float(SPAN)

@@ -10,6 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from matchcast.functions.hashing import POISSON_ONE, uniform_of
 from matchcast.operators.order import values_at
 from matchcast.schema import ROW_KEY
 
@@ -54,11 +55,15 @@ def binned(values: np.ndarray, edges: list[np.ndarray]) -> np.ndarray:
 
 @dataclass(frozen=True)
 class Sample:
-    """The rows that a fit learns from, by their mark, and which of the blocks' weights counts for it."""
+    """The rows that a fit learns from, by their mark, and how often each counts: by a weight of the blocks, or drawn by its key.
+
+    ``draw`` is the salt of a bootstrap sample, as ``sampling.bootstrap_weight`` has it; the blocks' key is then the row's residue.
+    """
 
     before: int | None = None  # rows with a smaller mark
     but: int | None = None  # rows with another mark
     weight: int | None = None
+    draw: int | None = None
 
     def learns(self, mark: np.ndarray) -> np.ndarray:
         if self.before is not None:
@@ -67,6 +72,8 @@ class Sample:
 
     def weights(self, rows: Rows) -> np.ndarray:
         weight = rows.weights[:, self.weight] if self.weight is not None else 1.0
+        if self.draw is not None:
+            weight = weight * np.searchsorted(POISSON_ONE, uniform_of(rows.key, self.draw), side="left")
         return np.where(self.learns(rows.mark), weight, 0.0)
 
 

@@ -24,8 +24,9 @@ from matchcast.operators.binning import Rows, Sample, pack_blocks
 from matchcast.operators.impute import Standardiser, fit_standardiser
 
 LOGISTIC, MARGIN = "logistic", "margin"
-TOLERANCE = 1e-9  # of a step, in deviations of the features, and of what a step gains
-SWEEPS = 1000
+CLOSE = 1e-7  # a step of that size, in deviations of the features, ends a problem
+GAIN = 1e-11  # or one that gains so little of the loss
+SWEEPS = 300
 FAR = 10.0  # the longest step of a coefficient
 SUMS = "problem int, sums binary"
 
@@ -120,21 +121,27 @@ def _summed(packed: Packed, work: dict[int, np.ndarray | None], problems: list[P
     return {k: found.get(k, np.zeros(size)) for k in work}  # a table without partitions has no sums
 
 
-def _soft_step(g: np.ndarray, h: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """The coefficients that a quadratic loss plus their sizes is least at, coordinate by coordinate; the first has no penalty."""
-    new, slope = b.copy(), g.copy()  # slope: of the quadratic loss at ``new``
+def _soft_steps(g: np.ndarray, h: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """For each problem the coefficients that a quadratic loss plus their sizes is least at; the first has no penalty.
+
+    All problems go through their coordinates together: ``g`` and ``b`` have a row a problem, ``h`` a matrix.
+    """
+    new, slope = b.copy(), g.copy()  # slope: of the quadratic losses at ``new``
+    curve = np.maximum(np.einsum("kii->ki", h), 1e-300)
+    moving = np.arange(len(b))
     for _ in range(SWEEPS):
-        most = 0.0
-        for j in range(len(b)):
-            if h[j, j] <= 0:
-                continue
-            goal = new[j] - slope[j] / h[j, j]
-            value = goal if j == 0 else np.sign(goal) * max(abs(goal) - 1.0 / h[j, j], 0.0)
-            move = value - new[j]
-            if move:
-                slope += h[:, j] * move
-                new[j], most = value, max(most, abs(move))
-        if most < TOLERANCE:
+        most = np.zeros(len(moving))
+        for j in range(b.shape[1]):
+            at, steep = new[moving, j], curve[moving, j]
+            goal = at - slope[moving, j] / steep
+            if j:
+                goal = np.sign(goal) * np.maximum(np.abs(goal) - 1.0 / steep, 0.0)
+            move = np.where(steep > 1e-200, goal - at, 0.0)
+            slope[moving] += h[moving, :, j] * move[:, None]
+            new[moving, j] = at + move
+            most = np.maximum(most, np.abs(move))
+        moving = moving[most >= CLOSE]
+        if not len(moving):
             break
     return new
 
@@ -146,17 +153,11 @@ def _penalty(problem: Problem, b: np.ndarray) -> float:
 
 
 def _stepped(problem: Problem, b: np.ndarray, g: np.ndarray, h: np.ndarray) -> np.ndarray:
-    """Where the penalised quadratic approximation of the loss is least."""
-    g, h = problem.strength * g, problem.strength * h
-    if problem.kind == LOGISTIC and problem.penalty == "l1":
-        new = _soft_step(g, h, b)
-    else:
-        weighed = np.ones(len(b))
-        if problem.kind == LOGISTIC:
-            weighed[0] = 0.0
-        full = h + np.diag(weighed)
-        new = b - np.linalg.lstsq(full, g + weighed * b, rcond=1e-13)[0]
-    return b + np.clip(new - b, -FAR, FAR)
+    """Where the quadratic approximation of the loss plus the squares of the coefficients is least."""
+    weighed = np.ones(len(b))
+    if problem.kind == LOGISTIC:
+        weighed[0] = 0.0
+    return b - np.linalg.lstsq(h + np.diag(weighed), g + weighed * b, rcond=1e-13)[0]
 
 
 @dataclass
@@ -213,20 +214,32 @@ def solve(packed: Packed, problems: list[Problem], starts: dict[int, Solution] |
     open_ = set(range(len(problems)))
     while open_:
         found = _summed(packed, {k: states[k].raw(width) for k in sorted(open_)}, problems, size)
+        soft: dict[int, list[int]] = {}  # problems that take a proximal step, by their number of coefficients
+        turns: dict[int, tuple] = {}
         for k, sums in found.items():
             problem, s = problems[k], states[k]
             value = problem.strength * sums[0] + _penalty(problem, s.b)
             if s.before is not None and value > s.least + 1e-12 * (1 + abs(s.least)) and s.halved < 30:
                 s.b, s.halved = (s.b + s.before) / 2, s.halved + 1
                 continue
-            s.rounds, s.halved = s.rounds + 1, 0
             used = np.concatenate([[0], s.columns + 1])
-            g = s.scale @ sums[1 : width + 2][used]
-            h = s.scale @ matrix(sums)[np.ix_(used, used)] @ s.scale.T
-            new = _stepped(problem, s.b, g, h)
-            settled = np.abs(new - s.b).max() < TOLERANCE or s.least - value <= TOLERANCE * 1e-3 * (1 + abs(value))
+            g = problem.strength * (s.scale @ sums[1 : width + 2][used])
+            h = problem.strength * (s.scale @ matrix(sums)[np.ix_(used, used)] @ s.scale.T)
+            turns[k] = (value, g, h)
+            if problem.kind == LOGISTIC and problem.penalty == "l1":
+                soft.setdefault(len(g), []).append(k)
+        goals = {}
+        for held in soft.values():
+            steps = _soft_steps(*(np.stack(c) for c in ([turns[k][1] for k in held], [turns[k][2] for k in held], [states[k].b for k in held])))
+            goals |= dict(zip(held, steps))
+        for k, (value, g, h) in turns.items():
+            s = states[k]
+            goal = goals[k] if k in goals else _stepped(problems[k], s.b, g, h)
+            new = s.b + np.clip(goal - s.b, -FAR, FAR)
+            s.rounds, s.halved = s.rounds + 1, 0
+            settled = np.abs(new - s.b).max() < CLOSE or s.least - value <= GAIN * (1 + abs(value))
             s.before, s.least, s.b = s.b, value, new
-            if settled or s.rounds >= problem.rounds:
+            if settled or s.rounds >= problems[k].rounds:
                 open_.discard(k)
     solutions = []
     for s in states:
