@@ -92,12 +92,15 @@ def license_scan(
     templates = F.broadcast(schema.unionByName(ends))
 
     texts = docs.select(F.col(id_col).alias("id"), text_hash(text_col).alias("h"), words(F.col(text_col)).alias("w"))
-    pairs = F.zip_with("w", F.slice("w", 2, F.size("w")), lambda a, b: F.xxhash64(a, b))
-    pairs = F.slice(pairs, 1, F.greatest(F.size("w") - (K - 1), F.lit(0)))
-    places = texts.select("id", "h", "w", F.posexplode(F.concat(pairs, F.array(mark))).alias("pos", "gram"))
+    # Each pair carries its own two words, and of the text only the number of words: a text's length is paid once.
+    pairs = F.zip_with("w", F.slice("w", 2, F.size("w")), lambda a, b: F.struct(F.xxhash64(a, b).alias("gram"), a.alias("one"), b.alias("two")))
     last = F.greatest(F.size("w") - (K - 1), F.lit(0))
-    true_hit = F.when(F.col("template") == END, F.col("pos") == last).otherwise(
-        F.coalesce((F.get("w", F.col("pos")) == F.col("first")) & (F.get("w", F.col("pos") + 1) == F.col("second")), F.lit(False))
+    none = F.lit(None).cast("string")
+    end = F.array(F.struct(mark.alias("gram"), none.alias("one"), none.alias("two")))
+    exploded = texts.select("id", "h", F.size("w").alias("size"), last.alias("last"), F.posexplode(F.concat(F.slice(pairs, 1, last), end)).alias("pos", "pair"))
+    places = exploded.select("id", "h", "size", "last", "pos", "pair.*")
+    true_hit = F.when(F.col("template") == END, F.col("pos") == F.col("last")).otherwise(
+        F.coalesce((F.col("one") == F.col("first")) & (F.col("two") == F.col("second")), F.lit(False))
     )
     hits = places.join(templates, "gram").filter(true_hit)
 
@@ -105,7 +108,7 @@ def license_scan(
         F.expr("bit_or(shiftleft(1L, at))").alias("held"),
         F.min("pos").alias("begin"),
         F.max("pos").alias("end"),
-        F.max(F.when(F.col("template") == END, F.size("w"))).alias("n_words"),
+        F.max(F.when(F.col("template") == END, F.col("size"))).alias("n_words"),
         F.count("*").alias("n"),
     )
     one = ["id", "h", "template"]
