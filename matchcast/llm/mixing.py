@@ -23,9 +23,10 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
 
 
-def place(id_col: Column, seed: str) -> Column:
-    """A document's place in a permutation that only its id and the seed decide: hex digits, compared as text."""
-    return F.substring(F.md5(F.concat(F.coalesce(id_col.cast("string"), F.lit("")), F.lit(seed)).cast("binary")), 1, DIGITS)
+def place(id_col: Column, text: Column, seed: str) -> Column:
+    """A document's place in a permutation that its id, its text and the seed decide: hex digits, compared as text."""
+    written = F.concat(F.coalesce(id_col.cast("string"), F.lit("")), F.lit(":"), F.md5(F.coalesce(text, F.lit("")).cast("binary")), F.lit(seed))
+    return F.substring(F.md5(written.cast("binary")), 1, DIGITS)
 
 
 def water_level(sizes: list[int], weights: list[int], total: float, most: int) -> list[float]:
@@ -68,7 +69,7 @@ def _descend(rows: DataFrame, quotas: list[Quota]) -> None:
     """Find each source's cut: round by round into the block where its words run out.
 
     A round sums the words of a block's 256 parts for each source, so no source is sorted; a block
-    of at most 256 documents is looked at one by one. Documents of one place, that is of one id, are
+    of at most 256 documents is looked at one by one. Rows of one place, that is equal ones, are
     taken or left together.
     """
     open_at = {q.key: ("", 0) for q in quotas if q.rest > 0}  # the block's prefix and the words before it
@@ -154,11 +155,12 @@ def plan(spark: SparkSession, rows: DataFrame, weights=WEIGHTS, total: float = T
 def mix(docs: DataFrame, id_col="doc_id", text_col="text", source_col="source", seed: str = "mix", shards: int = SHARDS) -> DataFrame:
     """``id, h, size, source_size, target, taken, copies, shards``: one row per document of the mix's plan.
 
-    A source's documents stand in a permuted order, which a hash of the id decides. The source gives whole
-    copies of all of them and then the first documents up to its target, to within half a document.
-    Blocks of 256 a source are dealt to ``shards`` outputs by the tree; ``shards`` lists the output
-    of each copy. Null sources are one source, the last; null texts have no words. Rows that
-    share an id stand at one place and are taken alike. A source without words has the target 0. An
+    A source's documents stand in a permuted order, which a hash of id and text decides, in 256 blocks. Its quota is a
+    number of blocks: all of them for each whole copy, and then the first ones up to its target, the last of which
+    gives documents until the target is met to within half a document. The tree divides the quotas among the outputs, each
+    output draws blocks that no other has drawn, and a document is taken by each output that drew its block:
+    ``shards`` lists them, ``copies`` counts them. Null sources are one source, the last; null texts have no words. Rows
+    that share an id are told apart by their texts, equal rows are taken alike. A source without words has the target 0. An
     empty table gives no rows. Reruns agree, as nothing depends on the order of rows.
     """
     spark = docs.sparkSession
@@ -166,28 +168,40 @@ def mix(docs: DataFrame, id_col="doc_id", text_col="text", source_col="source",
         docs.select(
             F.col(id_col).alias("id"), text_hash(text_col).alias("h"), F.col(source_col).alias("source"),
             source_key(F.col(source_col)).alias("key"), word_count(F.col(text_col)).alias("size"),
-            place(F.col(id_col), seed).alias("place"),
+            place(F.col(id_col), F.col(text_col), seed).alias("place"),
         )
     )
     quotas = plan(spark, rows)
     blocks = 16**STEP
     drawn = np.array([q.copies * blocks + _blocks_below(q.cut) for q in quotas], np.int64)
     dealt = split_tree(drawn, shards, 7) if quotas else np.zeros((shards, 0), np.int64)
-    entries = []
-    for i, q in enumerate(quotas):
-        outputs = np.repeat(np.arange(shards), dealt[:, i]).tolist()
-        entries.append((q.key, q.size, q.target, q.copies, q.cut, outputs))
-    schema = "key string, source_size long, target double, whole int, cut string, outputs array<int>"
-    joined = rows.join(spark.createDataFrame(entries, schema), "key")
-    copies = F.col("whole") + (F.col("place") < F.col("cut")).cast("int")
+    sources = spark.createDataFrame([(q.key, q.size, q.target) for q in quotas], "key string, source_size long, target double")
+    drawn_by = spark.createDataFrame(draws(quotas, dealt), "key string, block int, outputs array<struct<shard:int,cut:string>>")
     block = F.conv(F.substring("place", 1, STEP), 16, 10).cast("int")
-    at = lambda i: F.get("outputs", i * blocks + block)
-    shard = F.when(F.col("copies") > 0, F.transform(F.sequence(F.lit(0), F.col("copies") - 1), at)).otherwise(F.array().cast("array<int>"))
-    return joined.withColumn("copies", copies).select(
-        "id", "h", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "copies", shard.alias("shards")
+    joined = rows.withColumn("block", block).join(sources, "key").join(drawn_by, ["key", "block"], "left")
+    taking = F.filter("outputs", lambda o: F.col("place") < o["cut"])
+    taken_by = F.coalesce(F.transform(taking, lambda o: o["shard"]), F.array().cast("array<int>"))
+    return joined.withColumn("shards", taken_by).withColumn("copies", F.size("shards")).select(
+        "id", "h", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "copies", "shards"
     )
 
 
+def draws(quotas: list[Quota], dealt: np.ndarray) -> list[tuple]:
+    """``key, block, outputs``: who drew each block of each source, and up to which place its documents go there.
+
+    A source's blocks are numbered copy by copy; the outputs draw as many as the tree dealt them, in a permuted order.
+    """
+    blocks, found = 16**STEP, []
+    for i, q in enumerate(quotas):
+        outputs = np.random.default_rng([7, i]).permutation(np.repeat(np.arange(len(dealt)), dealt[:, i]))
+        by_block: dict[int, list] = {}
+        for number, shard in enumerate(outputs.tolist()):
+            copy, block = divmod(number, blocks)
+            by_block.setdefault(block, []).append((shard, "g" if copy < q.copies else q.cut))
+        found += [(q.key, block, held) for block, held in by_block.items()]
+    return found
+
+
 def _blocks_below(cut: str) -> int:
     """How many of a source's 256 blocks have documents below the cut."""
     if not cut:
@@ -199,8 +213,9 @@ def write_order(docs: DataFrame, seed: str = "mix") -> DataFrame:
     """The mix itself: each document as often as it is taken.
 
     Added are ``mix_copy``, ``mix_shard`` and ``mix_order``: a shard's documents, sorted by the last, are shuffled.
-    Input columns of these names are not expected; any others may occur.
+    Input columns of these names are replaced; any others stay.
     """
+    docs = docs.drop("mix_copy", "mix_shard", "mix_order")
     taken = mix(docs, seed=seed).filter("copies > 0")
     planned = settle(taken.select("id", "h", F.posexplode("shards").alias("copy", "shard")).distinct())
     listed = planned.select(*(F.col(c).alias(f"_mix_{c}") for c in planned.columns))

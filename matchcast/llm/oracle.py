@@ -91,7 +91,7 @@ _WEIGHT = " ".join(f"WHEN {i} THEN {w}" for i, w in enumerate(mixing.WEIGHTS))
 MIX = rf"""
 WITH d AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
-    substr(md5(coalesce(doc_id::VARCHAR, '') || 'mix'), 1, {mixing.DIGITS}) AS place FROM documents),
+    substr(md5(coalesce(doc_id::VARCHAR, '') || ':' || md5(coalesce(text, '')) || 'mix'), 1, {mixing.DIGITS}) AS place FROM documents),
 s AS (
   SELECT source, sum(size)::BIGINT AS size,
     CASE (row_number() OVER (ORDER BY source COLLATE C NULLS LAST) - 1) % {len(mixing.WEIGHTS)} {_WEIGHT} END AS weight,
