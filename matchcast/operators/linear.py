@@ -11,6 +11,7 @@ machine has the squared hinge loss, so a round's matrix is that of the rows insi
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -25,8 +26,8 @@ from matchcast.operators.impute import Standardiser, fit_standardiser
 
 LOGISTIC, MARGIN = "logistic", "margin"
 CLOSE = 1e-7  # a step of that size, in deviations of the features, ends a problem
-GAIN = 1e-11  # or one that gains so little of the loss
-SWEEPS = 300
+GAIN = 1e-8  # or one that gains so little of the loss
+SWEEPS = 100
 FAR = 10.0  # the longest step of a coefficient
 SUMS = "problem int, sums binary"
 
@@ -75,6 +76,8 @@ class Packed:
 
 
 def pack(df: DataFrame, features: list[str], label: str, **options) -> Packed:
+    # Workers fill the cores as it is; products in them take one thread each.
+    df.sparkSession.sparkContext.environment.setdefault("OMP_NUM_THREADS", "1")
     common = fit_standardiser(df, features)
     shift, scale = (np.array([getattr(common, c)[f] for f in features]) for c in ("means", "deviations"))
     blocks = pack_blocks(df, features, label, convert=lambda values: (values - shift) / scale, **options)
@@ -104,12 +107,15 @@ def _summed(packed: Packed, work: dict[int, np.ndarray | None], problems: list[P
         for batch in batches:
             for block in batch.to_pylist():
                 rows = Rows.of(block, np.float64)
-                x = _with_one(rows)
+                x, weights = _with_one(rows), {}
                 for k, b in work.items():
                     problem = problems[k]
-                    w = problem.sample.weights(rows)
-                    loss, first, second = (0.0, np.zeros(len(w)), w) if b is None else _terms(problem.kind, x @ b, rows.label, w)
-                    sums[k] += np.concatenate([[loss], x.T @ first, (x.T @ (x * second[:, None])).ravel()])
+                    if problem.sample not in weights:
+                        weights = {problem.sample: problem.sample.weights(rows)}
+                        held = np.flatnonzero(weights[problem.sample])
+                        w, z, label = weights[problem.sample][held], x[held], rows.label[held]
+                    loss, first, second = (0.0, np.zeros(len(w)), w) if b is None else _terms(problem.kind, z @ b, label, w)
+                    sums[k] += np.concatenate([[loss], z.T @ first, (z.T @ (z * second[:, None])).ravel()])
         yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array([s.tobytes() for s in sums.values()], pa.binary())], ["problem", "sums"])
 
     def together(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
@@ -121,28 +127,49 @@ def _summed(packed: Packed, work: dict[int, np.ndarray | None], problems: list[P
     return {k: found.get(k, np.zeros(size)) for k in work}  # a table without partitions has no sums
 
 
-def _soft_steps(g: np.ndarray, h: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """For each problem the coefficients that a quadratic loss plus their sizes is least at; the first has no penalty.
+def _soft_step(g: np.ndarray, h: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The coefficients that a quadratic loss plus their sizes is least at; the first has no penalty.
 
-    All problems go through their coordinates together: ``g`` and ``b`` have a row a problem, ``h`` a matrix.
+    Sweeps over the coordinates find which are not zero, and jumps to the least point with these signs, as far as no sign
+    turns, take what sweeps are slow at: features that nearly or wholly depend on one another.
     """
-    new, slope = b.copy(), g.copy()  # slope: of the quadratic losses at ``new``
-    curve = np.maximum(np.einsum("kii->ki", h), 1e-300)
-    moving = np.arange(len(b))
+    new, slope = b.copy(), g.copy()  # slope: of the quadratic loss at ``new``
     for _ in range(SWEEPS):
-        most = np.zeros(len(moving))
-        for j in range(b.shape[1]):
-            at, steep = new[moving, j], curve[moving, j]
-            goal = at - slope[moving, j] / steep
+        most = 0.0
+        for j in range(len(b)):
+            steep = h[j, j]
+            if steep <= 0:
+                continue
+            goal = new[j] - slope[j] / steep
             if j:
-                goal = np.sign(goal) * np.maximum(np.abs(goal) - 1.0 / steep, 0.0)
-            move = np.where(steep > 1e-200, goal - at, 0.0)
-            slope[moving] += h[moving, :, j] * move[:, None]
-            new[moving, j] = at + move
-            most = np.maximum(most, np.abs(move))
-        moving = moving[most >= CLOSE]
-        if not len(moving):
+                goal = math.copysign(max(abs(goal) - 1.0 / steep, 0.0), goal)
+            move = goal - new[j]
+            if move:
+                slope += h[:, j] * move
+                new[j], most = goal, max(most, abs(move))
+        if most < CLOSE:
             break
+        for _ in range(len(b)):
+            used = np.flatnonzero(new)
+            used = used if len(used) and used[0] == 0 else np.concatenate([[0], used])
+            sign = np.sign(new[used])
+            sign[0] = 0.0
+            inner, wanted = h[np.ix_(used, used)], -(slope[used] + sign)
+            move = np.linalg.lstsq(inner, wanted, rcond=1e-10)[0]
+            over = wanted - inner @ move
+            flat = np.abs(over).max() > 1e-9 * (1 + np.abs(wanted).max())
+            move = over if flat else move  # where the loss is flat the sizes fall until a sign would turn
+            with np.errstate(divide="ignore", invalid="ignore"):
+                turns = np.where((sign != 0) & (sign * move < 0), -new[used] / move, np.inf)
+            first = int(turns.argmin())
+            length = turns[first] if flat else min(turns[first], 1.0)
+            if not np.isfinite(length):
+                break
+            new[used] += length * move
+            slope += h[:, used] @ (length * move)
+            if length != turns[first]:
+                break
+            new[used[first]] = 0.0
     return new
 
 
@@ -153,7 +180,9 @@ def _penalty(problem: Problem, b: np.ndarray) -> float:
 
 
 def _stepped(problem: Problem, b: np.ndarray, g: np.ndarray, h: np.ndarray) -> np.ndarray:
-    """Where the quadratic approximation of the loss plus the squares of the coefficients is least."""
+    """Where the penalised quadratic approximation of the loss is least."""
+    if problem.kind == LOGISTIC and problem.penalty == "l1":
+        return _soft_step(g, h, b)
     weighed = np.ones(len(b))
     if problem.kind == LOGISTIC:
         weighed[0] = 0.0
@@ -214,7 +243,6 @@ def solve(packed: Packed, problems: list[Problem], starts: dict[int, Solution] |
     open_ = set(range(len(problems)))
     while open_:
         found = _summed(packed, {k: states[k].raw(width) for k in sorted(open_)}, problems, size)
-        soft: dict[int, list[int]] = {}  # problems that take a proximal step, by their number of coefficients
         turns: dict[int, tuple] = {}
         for k, sums in found.items():
             problem, s = problems[k], states[k]
@@ -226,15 +254,9 @@ def solve(packed: Packed, problems: list[Problem], starts: dict[int, Solution] |
             g = problem.strength * (s.scale @ sums[1 : width + 2][used])
             h = problem.strength * (s.scale @ matrix(sums)[np.ix_(used, used)] @ s.scale.T)
             turns[k] = (value, g, h)
-            if problem.kind == LOGISTIC and problem.penalty == "l1":
-                soft.setdefault(len(g), []).append(k)
-        goals = {}
-        for held in soft.values():
-            steps = _soft_steps(*(np.stack(c) for c in ([turns[k][1] for k in held], [turns[k][2] for k in held], [states[k].b for k in held])))
-            goals |= dict(zip(held, steps))
         for k, (value, g, h) in turns.items():
             s = states[k]
-            goal = goals[k] if k in goals else _stepped(problems[k], s.b, g, h)
+            goal = _stepped(problems[k], s.b, g, h)
             new = s.b + np.clip(goal - s.b, -FAR, FAR)
             s.rounds, s.halved = s.rounds + 1, 0
             settled = np.abs(new - s.b).max() < CLOSE or s.least - value <= GAIN * (1 + abs(value))
