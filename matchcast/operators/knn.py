@@ -32,6 +32,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 LEAST_PIVOTS = 16
 RINGS = 4
 BLOCK_ROWS = 20_000
+HELD_BYTES = 1 << 26  # of training vectors that a model tells to every executor
+ASKED_ROWS = 256  # whose distances are held at a time
 METRICS = {"euclidean": 2, "manhattan": 1}
 
 
@@ -346,6 +348,14 @@ class NeighbourModel:
         return cls(durable(rows), params["n_neighbors"], params["weights"], _metric(params))
 
     def transform(self, df: DataFrame, features: str, probability: str, predicted: str) -> DataFrame:
+        """Add the share of the votes for class 1, and the class.
+
+        Training rows of at most 64 MB, which are counted first, are told to every executor, and no row of ``df`` is moved; in
+        many dimensions nearly all of them have to be looked at anyway. Beyond that the rows meet block by block.
+        """
+        width = self.train.select(F.size("vector")).first()
+        if width is not None and self.train.count() * width[0] * 8 <= HELD_BYTES:
+            return self._beside(df, features, probability, predicted)
         rows = durable(df.withColumn("_query", F.monotonically_increasing_id()))
         asked = rows.select("_query", vector_to_array(F.col(features)).alias("vector"))
         near = nearest(asked, self.train, self.k, "vector", "_query", "label", self.metric)
@@ -358,6 +368,31 @@ class NeighbourModel:
         )
         return rows.join(found, "_query").drop("_query")
 
+    def _beside(self, df: DataFrame, features: str, probability: str, predicted: str) -> DataFrame:
+        held = sorted(self.train.collect(), key=lambda r: r["_query"])
+        points = np.array([r["vector"] for r in held], float)
+        told = df.sparkSession.sparkContext.broadcast((points, np.array([r["label"] for r in held], float)))
+        k, power, weights = self.k, METRICS[self.metric], self.weights
+
+        @F.pandas_udf("double")
+        def share(vectors: pd.Series) -> pd.Series:
+            points, labels = told.value
+            asked, found = _matrix(vectors, points.shape[1]), []
+            for at in range(0, len(asked), ASKED_ROWS):
+                d = _distances(asked[at : at + ASKED_ROWS], points, power)
+                near = _smallest(d, k)
+                far = np.take_along_axis(d, near, axis=1)
+                w = np.ones(far.shape)
+                if weights == "distance":
+                    with np.errstate(divide="ignore"):
+                        w = np.where(far[:, :1] == 0, (far == 0).astype(float), 1.0 / far)
+                found.append((w * (labels[near] == 1)).sum(axis=1) / w.sum(axis=1))
+            return pd.Series(np.concatenate([*found, np.zeros(0)]))
+
+        scored = df.withColumn(predicted, share(vector_to_array(F.col(features))))
+        p = F.col(predicted)
+        return scored.withColumn(probability, array_to_vector(F.array(1.0 - p, p))).withColumn(predicted, (p > 0.5).cast("double"))
+
     def save(self, path: str) -> None:
         self.train.write.mode("overwrite").parquet(path)
 
