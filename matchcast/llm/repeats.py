@@ -190,8 +190,8 @@ def _with_lists(docs: DataFrame, lists: DataFrame, how: str) -> DataFrame:
 
 
 def _per_text(rows: DataFrame, *columns: Column, name: str) -> DataFrame:
-    """The rows of a text as one list, which is no longer than the text."""
-    return rows.groupBy("id", "h").agg(F.collect_list(F.struct(*columns)).alias(name))
+    """The rows of a text as one list, which is no longer than the text, however many rows share its id and text."""
+    return rows.groupBy("id", "h").agg(F.collect_set(F.struct(*columns)).alias(name))
 
 
 def repeated_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, gram: int = GRAM) -> DataFrame:
