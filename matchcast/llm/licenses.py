@@ -97,7 +97,8 @@ def license_scan(
     last = F.greatest(F.size("w") - (K - 1), F.lit(0))
     none = F.lit(None).cast("string")
     end = F.array(F.struct(mark.alias("gram"), none.alias("one"), none.alias("two")))
-    exploded = texts.select("id", "h", F.size("w").alias("size"), last.alias("last"), F.posexplode(F.concat(F.slice(pairs, 1, last), end)).alias("pos", "pair"))
+    listed_pairs = texts.select("id", "h", F.size("w").alias("size"), last.alias("last"), F.concat(F.slice(pairs, 1, last), end).alias("pairs"))
+    exploded = listed_pairs.select("id", "h", "size", "last", F.posexplode("pairs").alias("pos", "pair"))
     places = exploded.select("id", "h", "size", "last", "pos", "pair.*")
     true_hit = F.when(F.col("template") == END, F.col("pos") == F.col("last")).otherwise(
         F.coalesce((F.col("one") == F.col("first")) & (F.col("two") == F.col("second")), F.lit(False))
