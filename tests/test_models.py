@@ -395,3 +395,21 @@ def test_registered_queries_ask_for_the_whole_job(monkeypatch):
         c.train_models(None, None)
     assert asked.value.args[0][2] == "random"
     assert "analyse_features" in c.__dict__
+
+
+def test_correlations_keep_no_rows(spark, monkeypatch):
+    """The products are sums of each task's rows: a kept table is read again whole, and grows with the input."""
+    df = spark.range(0, 3000, 1, 7).select(
+        F.col("id").cast("double").alias("a"),
+        F.when(F.col("id") % 3 != 0, F.col("id") % 11).cast("double").alias("b"),
+        (F.col("id") * 2.0 + F.col("id") % 5).alias("c"),
+    )
+    frame = df.toPandas()
+
+    def kept(*_):
+        raise AssertionError("rows are kept")
+
+    for name in ("persist", "cache", "checkpoint", "localCheckpoint"):
+        monkeypatch.setattr(type(df), name, kept)
+    for r in selection.correlations(df, ["a", "b", "c"]).collect():
+        assert r["correlation"] == pytest.approx(frame[r["feature_a"]].corr(frame[r["feature_b"]]), abs=1e-9)
