@@ -314,8 +314,17 @@ def similar_documents(docs: DataFrame, similarity: float = 0.8, shingle: int = 5
 def keep_first(docs: DataFrame, similarity: float = 0.8, shingle: int = 5) -> DataFrame:
     """One document of each group of near-duplicates stays, that with the smallest id, all columns as they were.
 
+    Two documents are linked by SimHash, if their fingerprints differ in 2 bits at most, and by similarity of their sets,
+    which finds near copies that differ in more bits; a group is all that links of either kind connect.
     A row without an id goes if its text is like that of a row with one.
     """
-    found = similar_documents(docs, similarity, shingle)
-    gone = settle(found.filter(~F.col("id").eqNullSafe(F.col("root"))).select("id", "h").distinct())
+    printed = settle(near_duplicates(docs).select("id", "h", "root"))
+    found = settle(similar_documents(docs, similarity, shingle).select("id", "h", "root"))
+    both = printed.unionByName(found)
+    links = both.filter("id != root").select(F.col("id").alias("a"), F.col("root").alias("b"))
+    later = components(links).filter("node != root").select(F.col("node").alias("id"))
+    named = both.join(later, "id", "left_semi").select("id", "h")
+    gone = settle(named.unionByName(both.filter("id IS NULL AND root IS NOT NULL").select("id", "h")).distinct())
+    release(printed)
+    release(found)
     return drop_rows(docs, gone)

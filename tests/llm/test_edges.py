@@ -210,6 +210,18 @@ def test_similar_texts_are_brute_force(documents):
     assert {r.id: r.root for r in simhash.similar_documents(documents(rows)).collect()} == like
 
 
+def test_the_pipeline_links_by_fingerprints_and_by_sets(documents):
+    tail = lambda name, n: " ".join(f"{name}{i}" for i in range(n))
+    often = "a b c " * 100
+    texts = {1: often + tail("x", 20), 2: "a b c a b c " + tail("y", 60), 3: often + tail("y", 60), 4: tail("z", 80), 5: often + tail("u", 20)}
+    bits = lambda i, j: (simhash.fingerprint(texts[i].encode()) ^ simhash.fingerprint(texts[j].encode())).bit_count()
+    assert bits(1, 3) <= 2 and bits(1, 5) <= 2 < min(bits(2, 3), bits(1, 2), bits(1, 4), bits(2, 4))
+    assert jaccard(texts[2], texts[3]) >= 0.8 > max(jaccard(texts[1], texts[i]) for i in (2, 3, 4, 5))
+    rows = [*texts.items(), (None, texts[5]), (None, tail("v", 30))]
+    kept = simhash.keep_first(documents(rows)).collect()
+    assert sorted((r.doc_id or 0, r.text) for r in kept) == [(0, rows[-1][1]), (1, texts[1]), (4, texts[4])]
+
+
 def test_likes_meet_among_very_many_unlike_texts(documents):
     rng = random.Random(33)
     shared = " ".join(f"b{i}" for i in range(84))
