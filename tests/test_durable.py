@@ -1,5 +1,7 @@
 """Intermediate rows on a cluster whose machines mount one folder."""
 
+import datetime as dt
+
 import pytest
 
 import __spark_entry__ as entry
@@ -43,3 +45,29 @@ def test_a_folder_of_one_machine_is_an_error(cluster, monkeypatch):
     monkeypatch.setattr(type(cluster.range(1)), "checkpoint", unseen)
     with pytest.raises(RuntimeError, match="one machine"):
         scratch_folder(cluster)
+
+
+@pytest.fixture(scope="module")
+def orders_and_customers(spark, tmp_path_factory):
+    """Rows of its own: 600 orders of 40 customers over 150 days."""
+    folder = str(tmp_path_factory.mktemp("tables"))
+    day = dt.datetime(2024, 1, 1)
+    orders = [(i, i * 7 % 40, "FOP"[i * i % 3], 100.0 + i * 37 % 900, day + dt.timedelta(days=i // 4)) for i in range(600)]
+    customers = [(i, f"Customer {i}", i * 3 % 25, i * 211 % 1000 - 300.0) for i in range(40)]
+    for name, rows, columns in (
+        ("orders", orders, "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate timestamp"),
+        ("customer", customers, "c_custkey long, c_name string, c_nationkey int, c_acctbal double"),
+    ):
+        spark.createDataFrame(rows, columns).write.parquet(f"{folder}/{name}.parquet")
+    return folder
+
+
+#: Queries that write intermediate rows, and the rows they return.
+WRITING = {
+    "anova_f": 36,
+}
+
+
+@pytest.mark.parametrize("name", WRITING)
+def test_named_queries_run_on_a_cluster(cluster, orders_and_customers, name):
+    assert entry.queries()[name](cluster, orders_and_customers).count() == WRITING[name]
