@@ -66,6 +66,7 @@ def orders_and_customers(spark, tmp_path_factory):
 WRITING = {
     "anova_f": 36,
     "auc": 18,
+    "augment_exact": 237,
 }
 
 
