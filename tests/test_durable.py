@@ -67,6 +67,7 @@ WRITING = {
     "anova_f": 36,
     "auc": 18,
     "augment_exact": 237,
+    "bag": 120,
 }
 
 
