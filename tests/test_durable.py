@@ -68,6 +68,7 @@ WRITING = {
     "auc": 18,
     "augment_exact": 237,
     "bag": 120,
+    "bayes_out_of_fold": 480,
 }
 
 
