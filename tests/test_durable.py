@@ -69,6 +69,7 @@ WRITING = {
     "augment_exact": 237,
     "bag": 120,
     "bayes_out_of_fold": 480,
+    "best_model": 1,
 }
 
 
