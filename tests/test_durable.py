@@ -70,6 +70,7 @@ WRITING = {
     "bag": 120,
     "bayes_out_of_fold": 480,
     "best_model": 1,
+    "bootstrap_exact": 1149,
 }
 
 
