@@ -71,6 +71,7 @@ WRITING = {
     "bayes_out_of_fold": 480,
     "best_model": 1,
     "bootstrap_exact": 1149,
+    "bootstrap_exact_sizes": 10,
 }
 
 
