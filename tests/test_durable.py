@@ -72,6 +72,7 @@ WRITING = {
     "best_model": 1,
     "bootstrap_exact": 1149,
     "bootstrap_exact_sizes": 10,
+    "bootstrap_logistic": 120,
 }
 
 
