@@ -73,6 +73,7 @@ WRITING = {
     "bootstrap_exact": 1149,
     "bootstrap_exact_sizes": 10,
     "bootstrap_logistic": 120,
+    "bootstrap_majority": 120,
 }
 
 
