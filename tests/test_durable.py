@@ -74,6 +74,7 @@ WRITING = {
     "bootstrap_exact_sizes": 10,
     "bootstrap_logistic": 120,
     "bootstrap_majority": 120,
+    "brier": 18,
 }
 
 
