@@ -75,6 +75,7 @@ WRITING = {
     "bootstrap_logistic": 120,
     "bootstrap_majority": 120,
     "brier": 18,
+    "calibrate": 120,
 }
 
 
