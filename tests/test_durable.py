@@ -76,6 +76,7 @@ WRITING = {
     "bootstrap_majority": 120,
     "brier": 18,
     "calibrate": 120,
+    "class_metrics": 18,
 }
 
 
