@@ -77,6 +77,7 @@ WRITING = {
     "brier": 18,
     "calibrate": 120,
     "class_metrics": 18,
+    "class_report": 90,
 }
 
 
