@@ -78,6 +78,7 @@ WRITING = {
     "calibrate": 120,
     "class_metrics": 18,
     "class_report": 90,
+    "confusion": 18,
 }
 
 
