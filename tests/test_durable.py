@@ -79,6 +79,7 @@ WRITING = {
     "class_metrics": 18,
     "class_report": 90,
     "confusion": 18,
+    "corr_filter": 36,
 }
 
 
