@@ -80,6 +80,7 @@ WRITING = {
     "class_report": 90,
     "confusion": 18,
     "corr_filter": 36,
+    "csv_round_trip": 600,
 }
 
 
