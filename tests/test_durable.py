@@ -81,6 +81,7 @@ WRITING = {
     "confusion": 18,
     "corr_filter": 36,
     "csv_round_trip": 600,
+    "ece": 18,
 }
 
 
