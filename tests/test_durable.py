@@ -82,6 +82,7 @@ WRITING = {
     "corr_filter": 36,
     "csv_round_trip": 600,
     "ece": 18,
+    "empty_gate": 1,
 }
 
 
