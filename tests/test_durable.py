@@ -83,6 +83,7 @@ WRITING = {
     "csv_round_trip": 600,
     "ece": 18,
     "empty_gate": 1,
+    "evaluate_scores": 18,
 }
 
 
