@@ -1,7 +1,10 @@
 """Forests: the same trees wherever a node is split, parts of a forest, and small known cases."""
 
+import pickle
+
 import numpy as np
 import pytest
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from matchcast.operators import binning, forest, learners, selection, tuning
@@ -131,3 +134,15 @@ def test_stability_and_elimination_share_the_bins(table):
     rows = selection.importance_stability(table, NAMES, "label", params={"n_estimators": 10}, iterations=4).collect()
     assert rows[0]["feature"] in ("c0", "c1", "c2") and sum(r["mean"] for r in rows) == pytest.approx(1)
     assert all(0 < r["std"] < 0.1 for r in rows)
+
+
+def test_a_forest_is_told_without_classes_of_the_package(spark, monkeypatch):
+    """Executors need not have the package, which a broadcast of its classes would ask for."""
+    columns = [0, -1, -1], [0, 0, 0], [1, 0, 0], [0.0, 0.25, 0.75], [4, 2, 2], [1.0, 0.0, 0.0]
+    tree = forest.Grown(*map(np.array, columns))
+    sent, context = [], type(spark.sparkContext)
+    monkeypatch.setattr(context, "broadcast", lambda self, value, send=context.broadcast: sent.append(value) or send(self, value))
+    rows = spark.createDataFrame([(Vectors.dense([-1.0]),), (Vectors.dense([2.0]),)], ["v"])
+    scored = forest.ForestModel([np.array([0.5])], [tree, tree], [1.0]).transform(rows, "v", "probability", "predicted")
+    assert sorted((float(r["probability"][1]), r["predicted"]) for r in scored.collect()) == [(0.25, 0.0), (0.75, 1.0)]
+    assert len(sent) == 1 and b"matchcast" not in pickle.dumps(sent)
