@@ -64,6 +64,7 @@ def orders_and_customers(spark, tmp_path_factory):
 
 #: Queries that write intermediate rows, and the rows they return.
 WRITING = {
+    "analyse_features": 72,
     "anova_f": 36,
     "auc": 18,
     "augment_exact": 237,
