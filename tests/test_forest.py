@@ -7,6 +7,7 @@ import pytest
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
+from matchcast.durable import durable
 from matchcast.operators import binning, forest, learners, selection, tuning
 from matchcast.operators.binning import Sample
 
@@ -54,6 +55,59 @@ def test_shared_levels_grow_the_same_trees(blocks, gather):
             assert len(one.feature) == len(other.feature) and (forest.walk(rows, one) == forest.walk(rows, other)).all()
 
 
+@pytest.fixture
+def written(monkeypatch):
+    tables = []
+
+    def kept(df):
+        tables.append(durable(df))
+        return tables[-1]
+
+    monkeypatch.setattr(forest, "durable", kept)
+    return tables
+
+
+@pytest.mark.parametrize("gather, wave, waves", [(0, 1 << 27, 4), (60, 1 << 27, 1), (60, 1400, 2), (1 << 17, 1 << 27, 1)])
+def test_importances_need_neither_rows_nor_nodes_written(blocks, written, monkeypatch, gather, wave, waves):
+    shape = forest.Shape(trees=4, per_split=2, columns=(0, 1, 2, 4))
+    whole = forest.grow_pool(blocks, [shape]).importances(len(NAMES))
+    written.clear()
+    monkeypatch.setattr(forest, "WAVE", wave)
+    pool = forest.grow_pool(blocks, [shape], gather, gains_only=True)
+    assert np.allclose(pool.importances(len(NAMES)), whole, atol=1e-12)
+    assert len(written) == waves
+    for table in written:
+        assert "at" not in table.columns
+        assert table.where("child IS NOT NULL OR size(feature) > 4").isEmpty()
+
+
+def test_elimination_writes_no_nodes(table, written):
+    ranks = selection.eliminate_features(table, NAMES, "label", keep=4, params={"n_estimators": 3}).collect()
+    assert sorted(r["rank"] for r in ranks) == [1, 1, 1, 1, 2, 3]
+    assert len(written) == 2 and all(t.where("child IS NOT NULL").isEmpty() for t in written)
+
+
+@pytest.mark.parametrize("weight, arrays", [(1.0, 1), (float(1 << 22), 2), (0.3, 2)])
+def test_packed_sums_find_the_best_splits(weight, arrays):
+    draw = np.random.default_rng(7)
+    bins, at, y = draw.integers(0, 8, (400, 3)).astype(np.uint8), draw.integers(0, 5, 400), draw.integers(0, 2, 400).astype(float)
+    w = draw.integers(1, 4, 400) * weight
+    sums = forest.Sums(w, w * y)
+    assert len(sums.held) == arrays
+    n, tw, ty = sums.by(at, 5)
+    looked = np.tile(np.arange(3), (5, 1))
+    found = forest.best_splits(bins.ravel(), np.arange(400) * 3, at, sums, looked, tw, ty, n, 8, 3)
+    for node in range(5):
+        here, best = at == node, (-np.inf, -1, 0)
+        for f in range(3):
+            for b in range(7):
+                left, right = here & (bins[:, f] <= b), here & (bins[:, f] > b)
+                if min(left.sum(), right.sum()) >= 3:
+                    gain = sum((w * y)[s].sum() ** 2 / w[s].sum() for s in (left, right))
+                    best = max(best, (round(gain, 6), f, b), key=lambda x: x[0])
+        assert best == (round(found[0][node], 6), found[1][node], found[2][node])
+
+
 def test_parts_are_forests_of_their_own(blocks):
     scores, _ = told(forest.grow_pool(blocks, SHAPES[:1]))
     for part, (depth, split, trees) in enumerate(SHAPES[0].parts):
