@@ -200,3 +200,23 @@ def test_a_forest_is_told_without_classes_of_the_package(spark, monkeypatch):
     scored = forest.ForestModel([np.array([0.5])], [tree, tree], [1.0]).transform(rows, "v", "probability", "predicted")
     assert sorted((float(r["probability"][1]), r["predicted"]) for r in scored.collect()) == [(0.25, 0.0), (0.75, 1.0)]
     assert len(sent) == 1 and b"matchcast" not in pickle.dumps(sent)
+
+
+def test_a_forest_beyond_what_is_told_scores_where_it_was_grown(spark, table, tmp_path, monkeypatch):
+    fit = lambda: forest.fit_forest(table, NAMES, "label", learners.full_params("random_forest", {"n_estimators": 5}), gather=60)
+    vectors = learners._assemble(table, NAMES, None)
+
+    def scored(model):
+        rows = model.transform(vectors, learners.FEATURES, "probability", "predicted").collect()
+        return {r["game_id"]: (round(float(r["probability"][1]), 9), r["predicted"]) for r in rows}
+
+    told = fit()
+    monkeypatch.setattr(forest, "HELD_NODES", 300)
+    spread = fit()
+    monkeypatch.setattr(forest, "WAVE", 700 * 3)  # three trees at a time
+    monkeypatch.setattr(forest, "MET_ROWS", 20)
+    assert told.spread is None and spread.trees == [] and spread.importances == told.importances
+    assert scored(spread) == scored(told)
+    spread.save(str(tmp_path / "f"), spark)
+    loaded = forest.ForestModel.load(spark, str(tmp_path / "f"))
+    assert loaded.spread is not None and scored(loaded) == scored(told)
