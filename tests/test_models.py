@@ -413,3 +413,13 @@ def test_correlations_keep_no_rows(spark, monkeypatch):
         monkeypatch.setattr(type(df), name, kept)
     for r in selection.correlations(df, ["a", "b", "c"]).collect():
         assert r["correlation"] == pytest.approx(frame[r["feature_a"]].corr(frame[r["feature_b"]]), abs=1e-9)
+
+
+def test_neighbours_move_packs_not_a_row_for_each_query_and_shell(spark, monkeypatch):
+    written = []
+    monkeypatch.setattr(knn, "durable", lambda df, real=knn.durable: written.append(real(df)) or written[-1])
+    rows = [(i, np.random.default_rng(i).normal(size=12).tolist(), i % 2) for i in range(300)]
+    df = spark.createDataFrame(rows, "id long, vector array<double>, label int")
+    near = knn.nearest(df, df, 3, leave_self_out=True, block_rows=100)
+    assert near.count() == 900
+    assert max(t.count() for t in written if "neighbour" not in t.columns) < 300
